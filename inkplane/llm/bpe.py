@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._shared import arrow_batches, text_or_empty
 
@@ -166,7 +167,7 @@ def with_ids(docs: DataFrame, tokenizer: str) -> DataFrame:
             ids = [bpe.encode(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names, "token_ids"])
 
-    return docs.mapInArrow(run, docs.schema.add("token_ids", "array<int>"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType()))]))
 
 
 def id_digests(docs: DataFrame, tokenizer: str) -> DataFrame:

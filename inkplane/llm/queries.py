@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, media, token_counts
+from . import bpe, licenses, media, mixing, token_counts, toxicity
 from ._shared import table
 
 TOKENIZERS = os.environ.get("TOKENIZERS", "")
@@ -22,10 +22,18 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(media.store_texts(table(spark, sf_dir, "documents")))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_shares(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.id_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -39,8 +47,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_media, op5_bpe, op6_licenses, op9_token_counts)}
+    return {f.__name__: f for f in (op1_toxicity, op2_media, op4_mixing, op5_bpe, op6_licenses, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": mixing.SHARES_SQL}
