@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, licenses, media, mixing, token_counts, toxicity
+from . import bpe, chat, licenses, media, mixing, token_counts, toxicity
 from ._shared import table
 
 TOKENIZERS = os.environ.get("TOKENIZERS", "")
@@ -46,8 +47,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.chat_digest(rows.unionByName(extra))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_media, op4_mixing, op5_bpe, op6_licenses, op9_token_counts)}
+    return {f.__name__: f for f in (op1_toxicity, op2_media, op4_mixing, op5_bpe, op6_licenses, op9_token_counts, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
