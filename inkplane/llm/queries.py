@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, media, mixing, near_dups, token_counts, toxicity
+from . import bpe, chat, licenses, line_dups, media, mixing, near_dups, token_counts, toxicity
 from ._shared import table
 
 TOKENIZERS = os.environ.get("TOKENIZERS", "")
@@ -43,6 +43,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dups.deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
@@ -59,7 +63,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_media, op4_mixing, op5_bpe, op6_licenses, op8_near_duplicates, op9_token_counts, op10_chat)}
+    return {f.__name__: f for f in (op1_toxicity, op2_media, op4_mixing, op5_bpe, op6_licenses, op7_line_dups, op8_near_duplicates, op9_token_counts, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
