@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, licenses, line_dups, media, mixing, near_dups, token_counts, toxicity
+from . import bpe, chat, embeddings, licenses, line_dups, media, mixing, near_dups, token_counts, toxicity
 from ._shared import table
 
 TOKENIZERS = os.environ.get("TOKENIZERS", "")
@@ -31,6 +31,10 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digest(media.store_texts(table(spark, sf_dir, "documents")))
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_shares(table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_media, op4_mixing, op5_bpe, op6_licenses, op7_line_dups, op8_near_duplicates, op9_token_counts, op10_chat)}
+    return {f.__name__: f for f in (op1_toxicity, op2_media, op3_embeddings, op4_mixing, op5_bpe, op6_licenses, op7_line_dups, op8_near_duplicates, op9_token_counts, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
