@@ -66,8 +66,14 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(rows.unionByName(extra))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top; it imports this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_media, op3_embeddings, op4_mixing, op5_bpe, op6_licenses, op7_line_dups, op8_near_duplicates, op9_token_counts, op10_chat)}
+    return {f.__name__: f for f in (op1_toxicity, op2_media, op3_embeddings, op4_mixing, op5_bpe, op6_licenses, op7_line_dups, op8_near_duplicates, op9_token_counts, op10_chat, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
