@@ -107,11 +107,10 @@ def folder_tree(paths: Iterable[str], excluded: Iterable[str] = ()) -> dict:
     return tree
 
 
-def tree_text(tree: dict, indent: int = 0) -> str:
-    """The tree as lines, two blanks a level, folders with a slash."""
+def tree_text(tree: dict, indent: int = 0) -> list[str]:
+    """The tree as lines, a dash before each name, two blanks a level."""
     out = []
     for name, below in tree.items():
-        out.append(" " * indent + name + ("/" if below is not None else ""))
-        if below:
-            out.append(tree_text(below, indent + 2))
-    return "\n".join(out)
+        out.append(f"{'  ' * indent}- {name}")
+        out += tree_text(below or {}, indent + 1)
+    return out
