@@ -12,17 +12,33 @@ from ..config import Grouping
 
 @dataclass(frozen=True)
 class Box:
-    """Columns of one box; x1 and y1 lie on its far edges."""
+    """The columns x0, y0, x1, y1 of one box, by alias and suffix; x1 and y1 lie on its far edges."""
 
-    x0: Column
-    y0: Column
-    x1: Column
-    y1: Column
+    alias: str | None = None
+    suffix: str = ""
 
     @classmethod
     def of(cls, alias: str | None = None, suffix: str = "") -> Box:
-        at = f"{alias}." if alias else ""
-        return cls(*(F.col(f"{at}{c}{suffix}") for c in ("x0", "y0", "x1", "y1")))
+        return cls(alias, suffix)
+
+    def _column(self, name: str) -> Column:
+        return F.col(f"{self.alias}.{name}{self.suffix}" if self.alias else f"{name}{self.suffix}")
+
+    @property
+    def x0(self) -> Column:
+        return self._column("x0")
+
+    @property
+    def y0(self) -> Column:
+        return self._column("y0")
+
+    @property
+    def x1(self) -> Column:
+        return self._column("x1")
+
+    @property
+    def y1(self) -> Column:
+        return self._column("y1")
 
     @property
     def w(self) -> Column:

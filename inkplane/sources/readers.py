@@ -27,7 +27,9 @@ def read_json(spark: SparkSession, path: str | list[str], schema: str, glob: str
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     rows = reader.json(path).withColumn("file_path", F.col("_metadata.file_path"))
-    broken = F.col(schemas.CORRUPT).isNotNull()
+    # Spark refuses to read the corrupt column alone, so the condition looks at the others too
+    whole = F.to_json(F.struct(*(c for c in rows.columns if c not in (schemas.CORRUPT, "file_path"))))
+    broken = F.col(schemas.CORRUPT).isNotNull() & whole.isNotNull()
     return rows.where(~broken).drop(schemas.CORRUPT), rows.where(broken).select("file_path", F.lit("invalid JSON").alias("error"))
 
 
