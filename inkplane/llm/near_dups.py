@@ -5,11 +5,12 @@ set; so VALUES values need half as many hash evaluations. Bands of BAND_VALUES v
 keys; pairs with a resemblance of 0.8 share none of the bands with a probability near 1e-7.
 
 Equal sets are one class from the start (by a digest of the set), so copies make no pairs. In each
-bucket every class is first compared with one centre; components of the links confirmed so far then
-leave few buckets that still hold several components, and in these all pairs across components are
-compared as well. So no two candidates that could join two components go unseen, and a group of
-near copies costs about as many comparisons as it has members. Every link is confirmed on the
-full shingle sets: 100 * intersection >= percent * union.
+bucket every class is compared with one centre, on the full shingle sets: a link needs
+100 * intersection >= percent * union. Then every bucket gets as a second centre the one that most
+classes link with, of those its members link with. Two members that both link with the centre need no comparison;
+others are found, without listing a bucket's pairs, by the edits they share relative to the centre
+(see _links_past_centres). So no link between candidates that could join two components is lost, and a
+group of near copies costs about as many comparisons as it has members.
 
 Defined cases: null and empty texts and texts without words have an empty set and link with nothing;
 fewer words than a shingle has make one shingle of all of them; rows that share an id are one
@@ -25,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import Scratch, arrow_batches, text_or_empty
@@ -112,30 +113,70 @@ def _sets(words: int):
     return run
 
 
-def _may_link(n: str, m: str, percent: int) -> Column:
-    """Sizes alone rule other pairs out."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-
-
-class _Confirm:
-    """Confirms candidate pairs on full sets, made from the texts of the documents in them."""
-
-    def __init__(self, texts: DataFrame, words: int, percent: int, scratch: Scratch):
-        self.texts, self.words, self.percent, self.scratch, self.rounds = texts, words, percent, scratch, 0
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link."""
-        self.rounds += 1
-        wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        chosen = self.texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-        sets = self.scratch.save(chosen.mapInArrow(_sets(self.words), "node long, shingles array<long>"), f"sets-{self.rounds}")
-        left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        both = F.size(F.array_intersect("x", "y"))
-        confirmed = pairs.join(left, "b").join(right, "a").where(100 * both >= self.percent * (F.size("x") + F.size("y") - both)).select("a", "b").distinct()
-        out = self.scratch.save(confirmed, f"links-{self.rounds}")
-        self.scratch.drop(f"sets-{self.rounds}")
-        return out
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Centres a and members b on their full sets: size (of a's), added and gone (what b has beyond a and
+    lacks of a), lead (b's first shingles, those that a lacks before others: so many that a set that links
+    with b must have one of them, and so on both sides), linked."""
+    left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")).hint("merge")
+    right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")).hint("merge")
+    both = pairs.join(left, "b").join(right, "a")
+    out_of = F.size("y") - F.ceil(F.size("y") * (percent / 100)).cast("int") + 1
+    lead = F.slice(F.concat(F.array_sort(F.array_except("y", "x")), F.array_sort(F.array_intersect("y", "x"))), F.lit(1), out_of)
+    both = both.select("a", "b", F.size("x").alias("size"), F.array_except("y", "x").alias("added"), F.array_except("x", "y").alias("gone"), lead.alias("lead"))
+    linked = 100 * (F.col("size") - F.size("gone")) >= percent * (F.col("size") + F.size("added"))
+    return both.withColumn("linked", linked)
+
+
+def _pairs(shared: DataFrame, centre: str) -> DataFrame:
+    return shared.where(F.col("node") != F.col(centre)).select(F.col(centre).alias("a"), F.col("node").alias("b")).distinct()
+
+
+def _with_hubs(shared: DataFrame, compared: DataFrame) -> DataFrame:
+    """Adds to buckets the centre anew: of the centres that members link with, the one with most links.
+    It need not be in the bucket itself; so the members of a large group are told apart by one centre."""
+    linked = compared.where("linked").select("a", "b")
+    degrees = linked.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    of_b = linked.join(degrees, "a").select(F.col("b").alias("node"), "degree", F.col("a").alias("hub"))
+    best = of_b.unionByName(degrees.select(F.col("a").alias("node"), "degree", F.col("a").alias("hub")))
+    best = best.groupBy("node").agg(F.max(F.struct("degree", -F.col("hub"))).alias("best"))
+    placed = shared.join(best, "node", "left").withColumn("best", F.coalesce("best", F.struct(F.lit(0).cast("long").alias("degree"), -F.col("node"))))
+    hubs = placed.groupBy("bucket").agg((-F.max("best")["col2"]).alias("hub"))
+    return shared.join(hubs, "bucket")
+
+
+def _links_past_centres(compared: DataFrame, joined: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between members of one bucket that its centre doesn't join and that are in different
+    components of the links found so far (joined: node, component).
+
+    Let x not be linked with the centre, and y be another member. Two filters that lose no link find
+    candidates by shared keys; each centre's members use one of them.
+
+    Where most members link with the centre, it stands for them, and their edits (shingles added, shingles
+    gone) tell them apart. If x and y link, counting gives at least (1 + percent * added + 100 * gone) /
+    (100 + percent) edits that both share, by y's numbers. So among any so many of y's edits that fewer
+    are left out there is one of x's: y asks with as many, the added ones first, and all of x's are held.
+
+    Elsewhere the members share some passage with the centre and not much else, and the leads of x and y
+    must meet (prefix filtering, with the centre's shingles last in the order).
+
+    The edits of both then tell intersection and union exactly.
+    """
+    placed = compared.join(joined.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    kinds = compared.groupBy("a").agg((2 * F.count_if("linked") >= F.count(F.lit(1))).alias("stands"), F.count_if(~F.col("linked")).alias("strays")).where("strays > 0").drop("strays")
+    placed = scratch.save(placed.join(kinds, "a"), "placed")
+    edits = F.concat("added", F.transform("gone", lambda v: F.bitwise_not(v)))
+    shared = F.ceil((1 + percent * F.size("added") + 100 * F.size("gone")) / (100 + percent)).cast("int")
+    asks = F.when(F.col("stands"), F.slice(edits, F.lit(1), F.size("added") + F.size("gone") - shared + 1)).otherwise(F.col("lead"))
+    held = placed.where(~F.col("linked")).select("a", F.col("b").alias("x"), F.col("component").alias("of_x"), F.explode(F.when(F.col("stands"), edits).otherwise(F.col("lead"))).alias("key"))
+    asked = placed.select("a", F.col("b").alias("y"), F.col("component").alias("of_y"), F.explode(asks).alias("key"))
+    met = held.join(asked, ["a", "key"]).where("of_x <> of_y").select("a", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct()
+    met = scratch.save(met, "met")
+    side = lambda n: compared.select("a", F.col("b").alias(n), *(F.col(c).alias(f"{c}_{n}") for c in ("size", "added", "gone")))
+    both = met.join(side("p"), ["a", "p"]).join(side("q").drop("size_q"), ["a", "q"])
+    same = F.size(F.array_intersect("added_p", "added_q")) + F.size(F.array_intersect("gone_p", "gone_q"))
+    inter = F.col("size_p") - F.size("gone_p") - F.size("gone_q") + same
+    union = F.col("size_p") + F.size("added_p") + F.size("added_q") - same
+    return both.where(100 * inter >= percent * union).select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -146,29 +187,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     signed = scratch.save(texts.mapInArrow(_signatures(words), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signatures")
     with_id = signed.where("doc_id is not null and n_shingles > 0")
-    classes = with_id.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    classes = scratch.save(with_id.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     members = with_id.join(classes, (with_id["digest"] == classes["digest"]) & (with_id["doc_id"] == classes["node"]), "left_semi")
-    entries = scratch.save(members.select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("bucket")).distinct(), "entries")
-    centres = entries.groupBy("bucket").agg(F.min(F.struct("node", "n_shingles")).alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = scratch.save(entries.join(centres, "bucket").select("bucket", "node", "n_shingles", "centre"), "shared")
-    scratch.drop("entries")
-    pairs = shared.where(F.col("node") != F.col("centre.node")).where(_may_link("n_shingles", "centre.n_shingles", percent))
-    pairs = scratch.save(pairs.select(F.col("centre.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    confirm = _Confirm(texts, words, percent, scratch)
-    links = confirm.links(pairs)
-    # rows that share an id are one document: its classes are nodes with one id, so nothing is to be joined
-    first = scratch.save(components(links, scratch, "first"), "first")
-    placed = shared.join(first, "node", "left").select("bucket", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
-    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    mixed = scratch.save(placed.join(several, "bucket", "left_semi"), "mixed")
-    p, q = mixed.alias("p"), mixed.alias("q")
-    across = p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.component") < F.col("q.component")) & _may_link("p.n_shingles", "q.n_shingles", percent))
-    across = across.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = confirm.links(scratch.save(across, "across"))
-    # first components shrink to their links; both kinds of links together give the final ones
-    found = first.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(more)
-    final = scratch.save(components(found, scratch, "final"), "final")
-    labels = classes.join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
+    entries = members.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
+    centres = entries.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last").drop("last")
+    shared = scratch.save(entries.join(centres, "bucket"), "shared")
+    # the sets are made anew from the texts, only for documents that share a bucket; texts move once, at any size
+    wanted = shared.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+    chosen = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    sets = scratch.save(chosen.mapInArrow(_sets(words), "node long, shingles array<long>"), "sets")
+    pairs = scratch.save(_pairs(shared, "centre"), "pairs")
+    first = scratch.save(_compared(pairs, sets, percent), "first")
+    again = scratch.save(_pairs(_with_hubs(shared, first), "hub"), "again")
+    second = scratch.save(_compared(again.join(pairs, ["a", "b"], "left_anti"), sets, percent), "second")
+    scratch.drop("sets")
+    compared = scratch.save(first.unionByName(second).join(again, ["a", "b"], "left_semi"), "compared")
+    direct = first.unionByName(second).where("linked").select("a", "b")
+    direct = scratch.save(components(direct, scratch, "direct"), "joined")
+    links = direct.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(_links_past_centres(compared, direct, percent, scratch))
+    found = scratch.save(components(links, scratch, "all"), "components")
+    # rows that share an id are one document: their classes have one node
+    labels = scratch.save(classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component")), "labels")
     rows = signed.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
     out = rows.select("doc_id", "n_shingles", component.alias("component_id"))
