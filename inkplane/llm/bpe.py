@@ -170,6 +170,21 @@ def with_ids(docs: DataFrame, tokenizer: str) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType()))]))
 
 
+def with_text(rows: DataFrame, tokenizer: str) -> DataFrame:
+    """All columns of rows and decoded, the text that token_ids stand for."""
+    arrow_batches(rows.sparkSession)
+    rows = rows.drop("decoded")
+    at = rows.columns.index("token_ids")
+
+    def run(batches):
+        bpe = loaded(tokenizer)
+        for b in batches:
+            texts = [None if ids is None else bpe.decode(ids) for ids in b.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())]))
+
+
 def id_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each text, encoded and decoded again."""
     arrow_batches(docs.sparkSession)
