@@ -2,8 +2,8 @@
 
 Two passes over the files. The first counts, for the templates' words only, in how many files each
 stands; that gives their inverse document frequency (a table as long as the templates have words).
-The second looks up each file's highest-IDF licence words in the index word -> (template, position),
-counts postings of a template that agree in relative position (place in the file less place in the
+The second looks up each file's highest-IDF licence words, template by template, in the index from words
+to positions, intersects their postings by relative position (place in the file less place in the
 template), and accepts a template where enough of its words agree and every one of its mandatory key
 phrases stands in the file. Base phrases are places of consecutive words and always count.
 
@@ -70,18 +70,18 @@ class Index:
     idf: dict[str, float]
     base: dict[str, str] = field(default_factory=lambda: dict(BASE))
     templates: tuple[Template, ...] = TEMPLATES
-    rare: int = 4  # words of a template that are looked up
+    rare: int = 4  # of a file's words that a template has, so many of the highest IDF are looked up
     agree: float = 0.6  # share of a template's words that must stand at their places
 
     def __post_init__(self):
+        weight = lambda w: self.idf.get(w, 0.0) + 1.0
         self.places = [words(t.text) for t in self.templates]
         self.keys = [[words(k) for k in t.keys] for t in self.templates]
-        self.postings: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        self.weights = [[weight(w) for w in ws] for ws in self.places]
+        self.postings: list[dict[str, list[int]]] = [defaultdict(list) for _ in self.templates]
         for k, ws in enumerate(self.places):
-            rarest = sorted(set(ws), key=lambda w: (-self.idf.get(w, 0.0), w))[: self.rare]
             for p, w in enumerate(ws):
-                if w in rarest:
-                    self.postings[w].append((k, p))
+                self.postings[k][w].append(p)
         self.phrases = [(words(p), label) for p, label in self.base.items()]
         self.vocabulary = {w for ws in self.places for w in ws} | {w for ws, _ in self.phrases for w in ws} | {w for ks in self.keys for k in ks for w in k}
 
@@ -101,26 +101,33 @@ class Index:
             if found:
                 starts += found
                 base.add(label)
-        votes: dict[tuple[int, int], set[str]] = defaultdict(set)
-        for w in sorted((w for w in by_word if w in self.postings), key=lambda w: -self.idf.get(w, 0.0)):
-            for k, p in self.postings[w]:
-                for i in by_word[w]:
-                    votes[k, i - p].add(w)
         labels, best = set(base), 0.0
-        weight = [sum(self.idf.get(w, 0.0) + 1.0 for w in t) for t in self.places]
-        for (k, shift), rare in votes.items():
-            need = {w for w, ps in self.postings.items() if any(t == k for t, _ in ps)}
-            if 2 * len(rare) < len(need):
-                continue
-            got = sum(self.idf.get(w, 0.0) + 1.0 for p, w in enumerate(self.places[k]) if at.get(shift + p) == w) / weight[k]
+        for k, template in enumerate(self.templates):
+            got = self._agreement(k, at, by_word)
             if got >= self.agree and all(any(stands(i, key) for i in by_word.get(key[0], ())) for key in self.keys[k]):
-                labels.add(self.templates[k].label)
+                labels.add(template.label)
                 best = max(best, got)
         if base:
             best = max(best, 0.5)
         return len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), min(1.0, best)
 
 
+    def _agreement(self, k: int, at: dict[int, str], by_word: dict[str, list[int]]) -> float:
+        """The largest share of template k's words, by weight, that stand at one shift of its places."""
+        postings, weights = self.postings[k], self.weights[k]
+        have = postings.keys() & by_word.keys()
+        if sum(weights[p] for w in have for p in postings[w]) < self.agree * sum(weights):
+            return 0.0  # too few of its words stand anywhere
+        rarest = sorted(have, key=lambda w: (-self.idf.get(w, 0.0), w))[: self.rare]
+        votes: dict[int, set[str]] = defaultdict(set)
+        for w in rarest:
+            for p in postings[w]:
+                for i in by_word[w]:
+                    votes[i - p].add(w)
+        shifts = [s for s, ws in votes.items() if 2 * len(ws) >= len(rarest)]
+        return max((sum(x for p, (w, x) in enumerate(zip(self.places[k], weights, strict=True)) if at.get(s + p) == w) / sum(weights) for s in shifts), default=0.0)
+
+
 def licence_idf(docs: DataFrame, vocabulary: set[str]) -> dict[str, float]:
     """IDF of the vocabulary's words over all documents; bounded by the vocabulary."""
     arrow_batches(docs.sparkSession)
