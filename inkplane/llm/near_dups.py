@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, arrow_batches, text_or_empty
+from ._shared import Scratch, arrow_batches, free_name, text_or_empty
 from .graphs import components
 
 BANDS, BAND_VALUES = 40, 5
@@ -218,5 +218,5 @@ def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """The rows of docs whose document is the first of its group; all columns. Repeated rows of one id
     and text are one document and leave one row."""
     found = near_duplicates(docs, words, percent).where("doc_id is not null and not kept").select("doc_id").distinct()
-    there = docs.withColumn("_id", F.col("doc_id").cast("long")).join(found.withColumnRenamed("doc_id", "_id"), "_id", "left_anti").drop("_id")
-    return there
+    key = free_name(docs, "_id")
+    return docs.withColumn(key, F.col("doc_id").cast("long")).join(found.withColumnRenamed("doc_id", key), key, "left_anti").select(*docs.columns)
