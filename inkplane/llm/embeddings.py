@@ -8,9 +8,10 @@ that chunk with each single bit flipped. A pair is taken in the first such table
 whose codes differ in more than FAR bits are let go; the others are compared by cosine, in double
 precision, on the original vectors. Only vectors of one label meet, and equal vectors are one class.
 
-The number of links is a count over links; what is compared grows with the links themselves (a
-group of n different near copies has n^2 of them) and not with the copies of one vector. Table keys
-join as skewed joins do, so a hot bucket is split.
+Where two buckets have many vectors, blocks of them are compared as matrices, and only sums leave a task:
+of each vector the number of its links in the two blocks and the smallest vector it is joined with. So
+near copies by the thousand make no rows of pairs; the number of links asks for comparing them all
+(a group of n different near copies has n^2 links), in as many tasks as there are pairs of blocks.
 
 Defined cases: vectors that are null, zero, of another length than the first's, or hold nulls, NaN or
 infinities link with nothing, and so do those without label or vec_id; rows that repeat an id are one
@@ -36,6 +37,8 @@ CHUNK = BITS // TABLES
 FAR = 20  # of BITS; at a cosine of 0.98 codes differ in about 4 bits
 SAMPLE = 20_000
 THRESHOLD = 0.98
+BLOCK = 256  # vectors of a block
+FULL = 4096  # questions of more pairs of vectors than this are answered block by block
 
 
 def learn_rotation(sample: np.ndarray, bits: int = BITS, rounds: int = 40, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
@@ -76,12 +79,23 @@ def _chunk(table: int) -> Column:
     return F.shiftrightunsigned("code", table * CHUNK).bitwiseAND((1 << CHUNK) - 1)
 
 
-def candidate_pairs(coded: DataFrame) -> DataFrame:
-    """(a, b) with a < b from (class, label, code) by the tables."""
+def _entries(coded: DataFrame) -> DataFrame:
+    """One row for each vector and table."""
     entry = [F.struct(F.lit(t).alias("t"), _chunk(t).alias("chunk")) for t in range(TABLES)]
-    entries = coded.select("class", "label", "code", F.explode(F.array(*entry)).alias("e")).select("class", "label", "code", "e.t", "e.chunk")
+    return coded.select("class", "label", "code", F.explode(F.array(*entry)).alias("e")).select("class", "label", "code", "e.t", "e.chunk")
+
+
+def _asked(entries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Every vector's questions: own bucket, and the buckets one bit off, with both buckets' sizes."""
     flips = F.array(*(F.lit(x).cast("long") for x in [0, *(1 << k for k in range(CHUNK))]))
-    asked = entries.withColumn("flip", F.explode(flips)).select(F.col("class").alias("a"), F.col("code").alias("code_a"), "label", "t", F.col("chunk").bitwiseXOR(F.col("flip")).alias("chunk"))
+    own = entries.join(sizes.withColumnRenamed("n", "n_own"), ["label", "t", "chunk"]).withColumn("flip", F.explode(flips))
+    asked = own.select("class", "code", "label", "t", F.col("chunk").alias("own"), F.col("chunk").bitwiseXOR(F.col("flip")).alias("chunk"), "n_own")
+    return asked.join(sizes, ["label", "t", "chunk"])
+
+
+def candidate_pairs(asked: DataFrame, entries: DataFrame) -> DataFrame:
+    """(a, b) with a < b that meet in a table, from the questions and the held entries."""
+    asked = asked.select(F.col("class").alias("a"), F.col("code").alias("code_a"), "label", "t", "chunk")
     held = entries.select(F.col("class").alias("b"), F.col("code").alias("code_b"), "label", "t", "chunk")
     differ = F.col("code_a").bitwiseXOR(F.col("code_b"))
     near = [F.bit_count(F.shiftrightunsigned(differ, t * CHUNK).bitwiseAND((1 << CHUNK) - 1)) <= 1 for t in range(TABLES)]
@@ -91,6 +105,46 @@ def candidate_pairs(coded: DataFrame) -> DataFrame:
     return asked.join(held, ["label", "t", "chunk"]).where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= FAR) & (first == F.col("t"))).select("a", "b")
 
 
+def block_links(asked: DataFrame, entries: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
+    """The links of full buckets, as sums: (class, others, root). Both buckets are cut into blocks of
+    about BLOCK vectors; a task compares two blocks as matrices and gives, for each vector that links, the
+    number of vectors it links with there and the smallest class it is joined with in the two blocks."""
+    key = ["label", "t", "own", "chunk", "block_a", "block_b"]
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("class"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    buckets = asked.select("label", "t", "own", "chunk", "n_own", "n").distinct()
+    left = asked.select("class", *key[:4], place("n_own").alias("block_a"), every("n").alias("block_b"), F.lit(True).alias("asks"))
+    right = entries.join(buckets, ["label", "t", "chunk"]).select("class", *key[:4], every("n_own").alias("block_a"), place("n").alias("block_b"), F.lit(False).alias("asks"))
+    both = left.unionByName(right).join(vectors.select("class", "code", "vector", "copies"), "class")
+
+    def compare(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        ids, code, copies = (table.column(c).to_numpy() for c in ("class", "code", "copies"))
+        x = _matrix(table.column("vector").combine_chunks())
+        x /= np.sqrt((x * x).sum(1))[:, None]
+        differ = code[asks][:, None] ^ code[~asks][None, :]
+        ok = (x[asks] @ x[~asks].T >= threshold) & (ids[asks][:, None] < ids[~asks][None, :]) & (np.bitwise_count(differ.view(np.uint64)) <= FAR)
+        for t in range(table.column("t")[0].as_py()):  # met in an earlier table already
+            ok &= np.bitwise_count((differ >> (t * CHUNK)) & ((1 << CHUNK) - 1)) > 1
+        if not ok.any():
+            return _SUMS.empty_table()
+        none = np.iinfo(np.int64).max
+        root_a, root_b, before = ids[asks].copy(), None, None
+        while before is None or (root_a != before).any():
+            before = root_a.copy()
+            root_b = np.where(ok, root_a[:, None], none).min(0)
+            root_a = np.minimum(root_a, np.where(ok, root_b[None, :], none).min(1))
+        others = np.r_[ok @ copies[~asks], ok.T @ copies[asks]]
+        some = others > 0
+        return pa.table([np.r_[ids[asks], ids[~asks]][some], others[some], np.r_[root_a, root_b][some]], schema=_SUMS)
+
+    return both.groupBy(*key).applyInArrow(compare, "class long, others long, root long")
+
+
+_SUMS = pa.schema([("class", pa.int64()), ("others", pa.int64()), ("root", pa.int64())])
+
+
 def cosine_links(pairs: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose cosine is at least threshold, with it."""
     left = vectors.select(F.col("class").alias("a"), F.col("vector").alias("x"))
@@ -133,10 +187,16 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, sample: in
 
     coded = classes.select("class", "label", "vector", "copies").mapInArrow(encode, "class long, label long, vector array<double>, copies long, code long")
     coded = scratch.save(coded.withColumn("digest", digest), "coded")
-    pairs = scratch.save(candidate_pairs(coded.select("class", "label", "code")), "pairs")
-    links = scratch.save(cosine_links(pairs, coded.select("class", "vector"), threshold).select("a", "b").distinct(), "links")
+    entries = _entries(coded)
+    sizes = scratch.save(entries.groupBy("label", "t", "chunk").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    asked = scratch.save(_asked(entries, sizes), "asked")
+    full = F.col("n") * F.col("n_own") > FULL
+    links = scratch.save(cosine_links(candidate_pairs(asked.where(~full), entries), coded.select("class", "vector"), threshold).select("a", "b").distinct(), "links")
+    sums = scratch.save(block_links(asked.where(full), entries, coded, threshold), "sums")
+    scratch.drop("asked")
     ends = links.join(coded.select(F.col("class").alias("b"), F.col("copies").alias("n")), "b").select(F.col("a").alias("class"), "n").unionByName(links.join(coded.select(F.col("class").alias("a"), F.col("copies").alias("n")), "a").select(F.col("b").alias("class"), "n"))
-    linked = ends.groupBy("class").agg(F.sum("n").alias("others"))
+    linked = ends.unionByName(sums.select("class", F.col("others").alias("n"))).groupBy("class").agg(F.sum("n").alias("others"))
+    links = links.unionByName(sums.select(F.col("root").alias("a"), F.col("class").alias("b")).distinct())
     placed = components(links, scratch).withColumnRenamed("node", "class")
     result = coded.select("class", "digest", "copies").join(linked, "class", "left").join(placed, "class", "left")
     result = result.groupBy("digest").agg(F.max(F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.min(F.coalesce("component", "class")).alias("component_id"))
