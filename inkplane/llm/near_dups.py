@@ -131,11 +131,11 @@ def _pairs(shared: DataFrame, centre: str) -> DataFrame:
     return shared.where(F.col("node") != F.col(centre)).select(F.col(centre).alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _with_hubs(shared: DataFrame, compared: DataFrame) -> DataFrame:
+def _with_hubs(shared: DataFrame, compared: DataFrame, scratch: Scratch) -> DataFrame:
     """Adds to buckets the centre anew: of the centres that members link with, the one with most links.
     It need not be in the bucket itself; so the members of a large group are told apart by one centre."""
     linked = compared.where("linked").select("a", "b")
-    degrees = linked.groupBy("a").agg(F.count(F.lit(1)).alias("degree"))
+    degrees = scratch.save(linked.groupBy("a").agg(F.count(F.lit(1)).alias("degree")), "degrees")
     of_b = linked.join(degrees, "a").select(F.col("b").alias("node"), "degree", F.col("a").alias("hub"))
     best = of_b.unionByName(degrees.select(F.col("a").alias("node"), "degree", F.col("a").alias("hub")))
     best = best.groupBy("node").agg(F.max(F.struct("degree", -F.col("hub"))).alias("best"))
@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets = scratch.save(chosen.mapInArrow(_sets(words), "node long, shingles array<long>"), "sets")
     pairs = scratch.save(_pairs(shared, "centre"), "pairs")
     first = scratch.save(_compared(pairs, sets, percent), "first")
-    again = scratch.save(_pairs(_with_hubs(shared, first), "hub"), "again")
+    again = scratch.save(_pairs(_with_hubs(shared, first, scratch), "hub"), "again")
     second = scratch.save(_compared(again.join(pairs, ["a", "b"], "left_anti"), sets, percent), "second")
     scratch.drop("sets")
     compared = scratch.save(first.unionByName(second).join(again, ["a", "b"], "left_semi"), "compared")

@@ -80,5 +80,5 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     new = to_encode.select("text_digest", "text").mapInArrow(run, "text_digest binary, n_tokens long")
     new = new.groupBy("text_digest").agg(F.min("n_tokens").alias("n_tokens"))  # repeated rows
     new.withColumn("tokenizer_digest", F.lit(version)).write.mode("append").parquet(cache)
-    counts = _read_cache(spark, cache, version)
+    counts = scratch.save(_read_cache(spark, cache, version), "counts")  # as a table, so that the join with a hot text can be split
     return keys.join(counts, "text_digest", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
