@@ -25,10 +25,13 @@ from pyspark.sql import types as T
 
 from ._shared import arrow_batches, text_or_empty
 
-#: Fixed value: the pre-tokenizer pattern of byte-level BPE, with white space by Unicode's property.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Words kept with their encoding in each worker. A full cache is emptied; results don't depend on it.
-CACHE_WORDS = 300_000
+#: Fixed value: the pre-tokenizer pattern of byte-level BPE, with white space by Unicode's property. Words come
+#: first, which changes nothing (contractions begin with an apostrophe) and is faster.
+WORDS = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+#: Words kept with their encoding while a task runs. A full cache is emptied; results don't depend on it.
+CACHE_WORDS = 400_000
+#: Pairs of tokens kept with their compatibility, likewise.
+CACHE_PAIRS = 500_000
 #: Longer words are encoded each time, so that the cache is bounded in bytes too.
 CACHE_CHARS = 64
 NEVER = 1 << 60
@@ -41,6 +44,24 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class Words(dict):
+    """Pieces of text with their ids joined by commas and the bytes these decode to, found when first asked for."""
+
+    def __init__(self, bpe: PrefixBPE):
+        super().__init__()
+        self.bpe = bpe
+
+    def __missing__(self, piece: str) -> tuple[str, bytes]:
+        bpe = self.bpe
+        ids = [bpe.added[piece]] if piece in bpe.added else bpe.encode_word(piece.encode())
+        found = ",".join(map(str, ids)), b"".join(map(bpe.bytes_of.__getitem__, ids))
+        if len(piece) <= CACHE_CHARS:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[piece] = found
+        return found
+
+
 class PrefixBPE:
     def __init__(self, path: str):
         spec = json.loads(Path(path).read_text())
@@ -60,7 +81,7 @@ class PrefixBPE:
             if whole not in self.parts:
                 self.parts[whole], self.born[whole] = (id_of[a], id_of[b]), r
         self.born |= {i: -1 for i, b in self.bytes_of.items() if len(b) == 1}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}  # by left << 20 | right
         self.automaton = ahocorasick.Automaton()
         for i, b in self.bytes_of.items():
             if len(b) == 1 or i in self.parts and self._meets(*self.parts[i], self.born[i]):
@@ -70,7 +91,6 @@ class PrefixBPE:
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.words = regex.compile(WORDS)
-        self.cache: dict[str, tuple[int, str, bytes]] = {}
 
     def _meets(self, left: int, right: int, before: int) -> bool:
         """Whether both stand side by side until merges of rank before: no merge over their border comes earlier.
@@ -98,10 +118,11 @@ class PrefixBPE:
                 j -= 1
 
     def fits(self, left: int, right: int) -> bool:
-        if (known := self._fits.get((left, right))) is None:
-            if len(self._fits) > 2_000_000:
+        key = left << 20 | right
+        if (known := self._fits.get(key)) is None:
+            if len(self._fits) >= CACHE_PAIRS:
                 self._fits.clear()
-            known = self._fits[left, right] = self._meets(left, right, NEVER)
+            known = self._fits[key] = self._meets(left, right, NEVER)
         return known
 
     def encode_word(self, word: bytes) -> list[int]:
@@ -127,25 +148,16 @@ class PrefixBPE:
             out += [part] if k % 2 else self.words.findall(part)
         return out
 
-    def known(self, piece: str) -> tuple[int, str, bytes]:
-        """Number of ids, the ids joined by commas, and the bytes they decode to."""
-        if (found := self.cache.get(piece)) is None:
-            ids = [self.added[piece]] if piece in self.added else self.encode_word(piece.encode())
-            found = len(ids), ",".join(map(str, ids)), b"".join(self.bytes_of[i] for i in ids)
-            if len(piece) <= CACHE_CHARS:
-                if len(self.cache) >= CACHE_WORDS:
-                    self.cache.clear()
-                self.cache[piece] = found
-        return found
-
-    def encode(self, text: str) -> list[int]:
-        return [int(i) for p in self.pieces(text) for i in self.known(p)[1].split(",")]
+    def encode(self, text: str, words: Words | None = None) -> list[int]:
+        words = Words(self) if words is None else words
+        joined = ",".join([words[p][0] for p in self.pieces(text)])
+        return list(map(int, joined.split(","))) if joined else []
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(self.bytes_of[i] for i in ids).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, PrefixBPE] = {}
+_LOADED: dict[str, PrefixBPE] = {}  # one for each worker process; what tasks cache goes with them
 
 
 def loaded(path: str) -> PrefixBPE:
@@ -154,20 +166,24 @@ def loaded(path: str) -> PrefixBPE:
     return _LOADED[path]
 
 
-def with_ids(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """All columns of docs and token_ids array<int> of each whole text."""
+def with_ids(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataFrame:
+    """All columns of docs and token_ids array<int> of each whole text; on demand decoded too, the text
+    that these stand for. Columns of these names in docs are replaced."""
     arrow_batches(docs.sparkSession)
-    if "token_ids" in docs.columns:
-        docs = docs.drop("token_ids")
+    names = ["token_ids", "decoded"] if decoded else ["token_ids"]
+    docs = docs.drop(*names)
     at = docs.columns.index("text")
 
     def run(batches):
         bpe = loaded(tokenizer)
+        words = Words(bpe)
         for b in batches:
-            ids = [bpe.encode(t or "") for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.list_(pa.int32()))], [*b.schema.names, "token_ids"])
+            ids = pa.array([bpe.encode(t or "", words) for t in b.column(at).to_pylist()], pa.list_(pa.int32()))
+            more = [pa.array([bpe.decode(x) for x in ids.to_pylist()], pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*b.columns, ids, *more], [*b.schema.names, *names])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType()))]))
+    kinds = [T.ArrayType(T.IntegerType()), T.StringType()]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds, strict=False))]))
 
 
 def with_text(rows: DataFrame, tokenizer: str) -> DataFrame:
@@ -191,13 +207,15 @@ def id_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches):
         bpe = loaded(tokenizer)
+        words = Words(bpe)
         for b in batches:
             n, ids, back = [], [], []
             for text in b.column(1).to_pylist():
-                found = list(map(bpe.known, bpe.pieces(text)))
-                n.append(sum(f[0] for f in found))
-                ids.append(hashlib.sha256(",".join([f[1] for f in found]).encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join([f[2] for f in found]).decode("utf-8", "replace").encode()).hexdigest())
+                found = [words[p] for p in bpe.pieces(text)]
+                joined = ",".join([f[0] for f in found])
+                n.append(joined.count(",") + 1 if joined else 0)
+                ids.append(hashlib.sha256(joined.encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join([f[1] for f in found]).decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
