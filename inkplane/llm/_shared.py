@@ -44,18 +44,32 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables written to the shared folder. They cut lineage and survive lost executors."""
+    """Tables written to the shared folder. They cut lineage and survive lost executors. An operator
+    drops those that its result doesn't read; the rest go when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        self.spark, self.root, self.names = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def _at(self, path: str):
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def save(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(name))
+        if not self.names:
+            root, files = self._at(self.root)
+            files.deleteOnExit(root)
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path, files = self._at(self.path(name))
+            files.delete(path, True)
+            self.names.discard(name)
+
+    def drop_all_but(self, *names: str) -> None:
+        self.drop(*(self.names - set(names)))

@@ -201,6 +201,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, sample: in
     result = coded.select("class", "digest", "copies").join(linked, "class", "left").join(placed, "class", "left")
     result = result.groupBy("digest").agg(F.max(F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.min(F.coalesce("component", "class")).alias("component_id"))
     result = scratch.save(result, "result")
+    scratch.drop_all_but("result")
     whole = usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("vector") == dims)
     keyed = rows.select("vec_id", F.when(whole, digest).alias("digest"))
     out = keyed.join(result, "digest", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))

@@ -208,6 +208,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found = scratch.save(components(links, scratch, "all"), "components")
     # rows that share an id are one document: their classes have one node
     labels = scratch.save(classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component")), "labels")
+    scratch.drop_all_but("signatures", "labels")
     rows = signed.select("doc_id", "n_shingles", "digest").join(labels, "digest", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component", "doc_id"))
     out = rows.select("doc_id", "n_shingles", component.alias("component_id"))
