@@ -73,5 +73,13 @@ def detection_totals(detections: DataFrame) -> DataFrame:
     return detections.rollup("image").agg(F.count(F.lit(1)).alias("detections"))
 
 
+def before_and_after(boxes: DataFrame, regions: DataFrame) -> DataFrame:
+    """By image, boxes before and regions after grouping, by orientation."""
+    flat = F.col("x1") - F.col("x0") > F.col("y1") - F.col("y0")
+    both = boxes.select("image", flat.alias("flat"), F.lit(False).alias("after")).unionByName(regions.select("image", flat.alias("flat"), F.lit(True).alias("after")))
+    count = lambda after, wide: F.count_if((F.col("after") == after) & (F.col("flat") == wide))
+    return both.groupBy("image").agg(*(count(a, w).alias(f"{'after' if a else 'before'}_{'horizontal' if w else 'vertical'}") for a in (False, True) for w in (True, False)))
+
+
 def orientation_counts(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("orientation").agg(F.count_if("drawn").alias("drawn"), F.count_if(~F.col("drawn")).alias("skipped"))

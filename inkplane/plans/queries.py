@@ -491,6 +491,11 @@ def viz_counts(spark, d):
     return statistics.orientation_counts(labelled)
 
 
+@query("SELECT image, sum(pre_h)::BIGINT AS before_horizontal, sum(pre_v)::BIGINT AS before_vertical, sum(post_h)::BIGINT AS after_horizontal, sum(post_v)::BIGINT AS after_vertical FROM (SELECT image, (x1 - x0 > y1 - y0)::INT AS pre_h, (x1 - x0 <= y1 - y0)::INT AS pre_v, 0 AS post_h, 0 AS post_v FROM box UNION ALL SELECT image, 0, 0, (x1 - x0 > y1 - y0)::INT, (x1 - x0 <= y1 - y0)::INT FROM region) GROUP BY image", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE, X.COMPONENT_CTE)
+def viz_comparison(spark, d):
+    return statistics.before_and_after(X.boxes(spark, d), group_boxes(spark, d))
+
+
 @query()
 def detector_stub(spark, d):
     """Detections of the stand-in detector, on the page; no SQL says what a model finds."""

@@ -5,6 +5,9 @@ Files are written by the executors, one folder or file for each image, to any pa
 
 from __future__ import annotations
 
+import dataclasses
+import hashlib
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -69,6 +72,12 @@ def with_png(crops: DataFrame) -> DataFrame:
     return crops.mapInArrow(run, schema)
 
 
+def run_record(images: DataFrame, config, seconds: float, version: str = "1.0") -> DataFrame:
+    """One row for each image about the run: its time, the pipeline's version and a digest of the parameters."""
+    digest = hashlib.md5(json.dumps(dataclasses.asdict(config), sort_keys=True).encode()).hexdigest()
+    return images.select("source_image", F.lit(f"{seconds:.3f}").alias("processing_time"), F.lit(version).alias("pipeline_version"), F.lit(digest).alias("config_hash"))
+
+
 def in_points(annotations: DataFrame, dpi: int) -> DataFrame:
     """The second perspective of annotations: boxes in PDF points."""
     from ..operators.coordinates import to_points

@@ -97,6 +97,7 @@ def test_pipeline_starts_and_stops(spark, tmp_path):
     assert r.read("labels").count() == r.read("annotations").count()
     with pytest.raises(ValueError):
         pipeline.run(r, start_at="labels", stop_at="pages")
+    assert writers.run_record(r.read("pages"), r.config, 1.5).first().pipeline_version == "1.0"
     files = writers.tile_files(r.read("tiles"), r.read("pages"), 720, 0.1)
     assert files.first().num_tiles == 6 and readers.explode_tiles(files).count() == 6
     texts = writers.image_files(writers.region_quads(r.read("regions")).select("image", "bbox"), r.read("pages"))
