@@ -91,3 +91,51 @@ def test_known_counts(spark, sf_dir):
 
 def test_empty(spark):
     assert grouping.group_boxes(frame(spark, {0: []}), CFG).count() == 0
+
+
+def test_translation_moves_regions(spark):
+    images = random_images(21, 10)
+    moved = {k: [(x0 + 977, y0 + 311, x1 + 977, y1 + 311) for x0, y0, x1, y1 in b] for k, b in images.items()}
+    one = {tuple(r) for r in grouping.group_boxes(frame(spark, images), CFG).select("image", "component", *grouping.BOX).collect()}
+    two = {(r.image, r.component, r.x0 - 977, r.y0 - 311, r.x1 - 977, r.y1 - 311) for r in grouping.group_boxes(frame(spark, moved), CFG).collect()}
+    assert one == two
+
+
+def test_transposition_swaps_directions(spark):
+    images = {k: [b for b in boxes if b[2] - b[0] != b[3] - b[1]] for k, boxes in random_images(22, 10).items()}
+    turned = {k: [(y0, x0, y1, x1) for x0, y0, x1, y1 in b] for k, b in images.items()}
+    swap = {"horizontal_text_proximity": "vertical_text_proximity", "vertical_text_proximity": "horizontal_text_proximity"}
+    one = {(r.image, r.i, r.j, swap.get(r.reason, r.reason)) for r in grouping.link_edges(frame(spark, images), CFG).collect()}
+    assert one == {(r.image, r.i, r.j, r.reason) for r in grouping.link_edges(frame(spark, turned), CFG).collect()}
+
+
+def test_survivors_and_regions(spark):
+    images = random_images(23, 12)
+    b = frame(spark, images)
+    left = grouping.survivors(b, CFG)
+    assert grouping.conflicts(left, CFG).count() == 0
+    placed = left.join(grouping.components(left, grouping.link_edges(left, CFG)), ["image", "idx"])
+    assert placed.count() == left.count()
+    inside = placed.join(grouping.merge_clusters(placed).withColumnsRenamed({c: f"r_{c}" for c in grouping.BOX}), ["image", "component"])
+    assert inside.where("x0 < r_x0 or y0 < r_y0 or x1 > r_x1 or y1 > r_y1").count() == 0
+
+
+def test_pairs_checked(spark):
+    images = random_images(24, 6)
+    b = frame(spark, images)
+    got = {r.image: r.pairs for r in grouping.pairs_checked(b, grouping.conflicts(b, CFG)).collect()}
+    want = {}
+    for k, boxes in images.items():
+        dead, n = set(), 0
+        for i in range(len(boxes)):
+            for j in range(i + 1, len(boxes)):
+                if i in dead or j in dead:
+                    continue
+                n += 1
+                if model.contained(boxes[i], boxes[j]) > CFG.contained_box_threshold:
+                    dead.add(i)
+                elif model.contained(boxes[j], boxes[i]) > CFG.contained_box_threshold:
+                    dead.add(j)
+        if n:
+            want[k] = n
+    assert got == want
