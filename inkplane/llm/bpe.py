@@ -28,10 +28,11 @@ from ._shared import arrow_batches, text_or_empty
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE, with white space by Unicode's property. Words come
 #: first, which changes nothing (contractions begin with an apostrophe) and is faster.
 WORDS = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Words kept with their encoding while a task runs. A full cache is emptied; results don't depend on it.
-CACHE_WORDS = 400_000
-#: Pairs of tokens kept with their compatibility, likewise.
-CACHE_PAIRS = 500_000
+#: Words kept with their encoding while a task runs, in two generations: a full one becomes the old one,
+#: and words asked for again move to the young one. Results don't depend on it.
+CACHE_WORDS = 200_000
+#: Pairs of tokens kept with their compatibility; a full cache is emptied.
+CACHE_PAIRS = 400_000
 #: Longer words are encoded each time, so that the cache is bounded in bytes too.
 CACHE_CHARS = 64
 NEVER = 1 << 60
@@ -49,14 +50,16 @@ class Words(dict):
 
     def __init__(self, bpe: PrefixBPE):
         super().__init__()
-        self.bpe = bpe
+        self.bpe, self.old = bpe, {}
 
     def __missing__(self, piece: str) -> tuple[str, bytes]:
-        bpe = self.bpe
-        ids = [bpe.added[piece]] if piece in bpe.added else bpe.encode_word(piece.encode())
-        found = ",".join(map(str, ids)), b"".join(map(bpe.bytes_of.__getitem__, ids))
+        if (found := self.old.get(piece)) is None:
+            bpe = self.bpe
+            ids = [bpe.added[piece]] if piece in bpe.added else bpe.encode_word(piece.encode())
+            found = ",".join(map(str, ids)), b"".join(map(bpe.bytes_of.__getitem__, ids))
         if len(piece) <= CACHE_CHARS:
             if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[piece] = found
         return found

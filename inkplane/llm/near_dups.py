@@ -20,6 +20,7 @@ document with the links of all of them; rows without an id link with nothing and
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,11 @@ from .graphs import components
 BANDS, BAND_VALUES = 40, 5
 VALUES = BANDS * BAND_VALUES
 PERMUTATIONS = VALUES // 2
+SKETCH = -(-VALUES // 64)  # 64-bit words of a sketch
+SURE = 5.4  # standard deviations
+FULL = 16_384  # pairs of strays and members; a centre with more is compared by blocks
+BLOCK = 256
+COLUMNS = 4096
 _random = np.random.default_rng(20)
 FLIPS = _random.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2)
 FACTORS = _random.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -69,8 +75,8 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def bands(sets: list[np.ndarray]) -> np.ndarray:
-    """The band keys (sets, BANDS) of sets, none of them empty."""
+def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys (sets, BANDS) of sets, none of them empty, and their sketches (sets, SKETCH): a bit of each value."""
     x = np.concatenate(sets)
     start = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     values = np.empty((VALUES, len(sets)), np.uint64)
@@ -84,7 +90,8 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
         for v, f in zip(values[b * BAND_VALUES : (b + 1) * BAND_VALUES], BAND_FACTORS, strict=True):
             key = _mixed((key + v) * f)
         keys[:, b] = key
-    return keys
+    bits = np.packbits((_mixed(values) & np.uint64(1)).astype(np.uint8).T, axis=1)
+    return keys, np.ascontiguousarray(np.pad(bits, ((0, 0), (0, 8 * SKETCH - bits.shape[1])))).view(np.int64)
 
 
 def _signatures(words: int):
@@ -94,10 +101,11 @@ def _signatures(words: int):
                 b = whole.slice(at, 64)
                 sets = shingle_sets(b.column(1).to_pylist(), words)
                 some = [s for s in sets if len(s)]
-                found = iter(bands(some).view(np.int64)) if some else iter(())
-                keys = [next(found) if len(s) else None for s in sets]
+                found = iter(zip(*signatures(some), strict=True)) if some else iter(())
+                both = [next(found) if len(s) else (None, None) for s in sets]
+                keys, sketches = [None if k is None else k.view(np.int64) for k, _ in both], [x for _, x in both]
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "bands", "sketch"])
 
     return run
 
@@ -120,7 +128,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")).hint("merge")
     right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")).hint("merge")
     both = pairs.join(left, "b").join(right, "a")
-    out_of = F.size("y") - F.ceil(F.size("y") * (percent / 100)).cast("int") + 1
+    out_of = F.size("y") - F.expr(f"(size(y) * {percent} + 99) div 100").cast("int") + 1  # whole numbers, so nothing is rounded
     lead = F.slice(F.concat(F.array_sort(F.array_except("y", "x")), F.array_sort(F.array_intersect("y", "x"))), F.lit(1), out_of)
     both = both.select("a", "b", F.size("x").alias("size"), F.array_except("y", "x").alias("added"), F.array_except("x", "y").alias("gone"), lead.alias("lead"))
     linked = 100 * (F.col("size") - F.size("gone")) >= percent * (F.col("size") + F.size("added"))
@@ -144,7 +152,60 @@ def _with_hubs(shared: DataFrame, compared: DataFrame, scratch: Scratch) -> Data
     return shared.join(hubs, "bucket")
 
 
-def _links_past_centres(compared: DataFrame, joined: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _block_links(placed: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for members of full centres the smallest node that a member is joined with among two blocks
+    of about BLOCK members, strays against all. Shared edits are counted by products of incidence
+    matrices, COLUMNS edits at a time, so a task holds two blocks whatever their number or size."""
+    edits = F.concat("added", F.transform("gone", lambda v: F.bitwise_not(v)))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    rows = placed.select("a", F.col("b").alias("node"), "linked", "size", F.size("added").alias("n_added"), F.size("gone").alias("n_gone"), edits.alias("edits"), "strays", "n")
+    place = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    given = ["a", "node", "size", "n_added", "n_gone", "edits"]
+    left = rows.where("not linked").select(*given, place("strays").alias("block_x"), every("n").alias("block_y"), F.lit(True).alias("stray"))
+    right = rows.select(*given, every("strays").alias("block_x"), place("n").alias("block_y"), F.lit(False).alias("stray"))
+    nothing = pa.schema([("a", pa.int64()), ("b", pa.int64())]).empty_table()
+
+    def compare(table: pa.Table) -> pa.Table:
+        x = table.column("stray").to_numpy()
+        if x.all() or not x.any():
+            return nothing
+        node, size, added, gone = (table.column(c).to_numpy().astype(np.int64) for c in ("node", "size", "n_added", "n_gone"))
+        lists = table.column("edits").combine_chunks()
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        _, column, often = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        number = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[column]  # edits of one member only are shared by none
+        shared = np.zeros((x.sum(), (~x).sum()), np.float32)
+        order = np.argsort(number, kind="stable")
+        row, number = row[order], number[order]
+        for low in range(0, int(number.max(initial=-1)) + 1, COLUMNS):
+            part = slice(*np.searchsorted(number, [low, low + COLUMNS]))
+            has = np.zeros((len(lists), COLUMNS), np.float32)
+            has[row[part], number[part] - low] = 1
+            shared += has[x] @ has[~x].T
+        inter = (size - gone)[x][:, None] - gone[~x][None, :] + shared.astype(np.int64)
+        union = (size + added)[x][:, None] + added[~x][None, :] - shared.astype(np.int64)
+        ok = 100 * inter >= percent * union
+        none = np.iinfo(np.int64).max
+        root_x, before = node[x].copy(), None
+        while before is None or (root_x != before).any():
+            before = root_x.copy()
+            root_y = np.where(ok, root_x[:, None], none).min(0)
+            root_x = np.minimum(root_x, np.where(ok, root_y[None, :], none).min(1))
+        ends, roots = np.r_[node[x], node[~x]], np.r_[root_x, root_y]
+        joined = (roots != none) & (roots != ends)
+        return pa.table([roots[joined], ends[joined]], names=["a", "b"])
+
+    return left.unionByName(right).groupBy("a", "block_x", "block_y").applyInArrow(lambda t: compare(t), "a long, b long")
+
+
+def least_bits(percent: int) -> int:
+    """Equal bits of two sketches, of VALUES, that sets of this resemblance have but for one case in 10^7."""
+    p = (1 + percent / 100) / 2
+    return math.floor(VALUES * p - SURE * math.sqrt(VALUES * p * (1 - p)))
+
+
+def _links_past_centres(compared: DataFrame, joined: DataFrame, sketches: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between members of one bucket that its centre doesn't join and that are in different
     components of the links found so far (joined: node, component).
 
@@ -157,26 +218,31 @@ def _links_past_centres(compared: DataFrame, joined: DataFrame, percent: int, sc
     are left out there is one of x's: y asks with as many, the added ones first, and all of x's are held.
 
     Elsewhere the members share some passage with the centre and not much else, and the leads of x and y
-    must meet (prefix filtering, with the centre's shingles last in the order).
+    must meet (prefix filtering, with the centre's shingles last in the order). Where such a centre has
+    many members, of which many pairs would meet, blocks of them are compared as matrices (see _block_links).
 
-    The edits of both then tell intersection and union exactly.
+    Of the pairs that meet, those whose sketches differ in too many bits go at once (see least_bits; as sure
+    as the banding itself). The edits of both then tell intersection and union exactly.
     """
-    placed = compared.join(joined.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
-    kinds = compared.groupBy("a").agg((2 * F.count_if("linked") >= F.count(F.lit(1))).alias("stands"), F.count_if(~F.col("linked")).alias("strays")).where("strays > 0").drop("strays")
-    placed = scratch.save(placed.join(kinds, "a"), "placed")
+    placed = compared.join(sketches.select(F.col("node").alias("b"), "sketch"), "b").join(joined.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
+    kinds = compared.groupBy("a").agg((2 * F.count_if("linked") >= F.count(F.lit(1))).alias("stands"), F.count_if(~F.col("linked")).alias("strays"), F.count(F.lit(1)).alias("n")).where("strays > 0")
+    placed = scratch.save(placed.join(kinds, "a").withColumn("full", ~F.col("stands") & (F.col("strays") * F.col("n") > FULL)), "placed")
+    blocks = scratch.save(_block_links(placed.where("full"), percent), "blocks")
+    placed = placed.where("not full")
     edits = F.concat("added", F.transform("gone", lambda v: F.bitwise_not(v)))
-    shared = F.ceil((1 + percent * F.size("added") + 100 * F.size("gone")) / (100 + percent)).cast("int")
+    shared = F.expr(f"({percent} * size(added) + 100 * size(gone) + {100 + percent}) div {100 + percent}").cast("int")
     asks = F.when(F.col("stands"), F.slice(edits, F.lit(1), F.size("added") + F.size("gone") - shared + 1)).otherwise(F.col("lead"))
-    held = placed.where(~F.col("linked")).select("a", F.col("b").alias("x"), F.col("component").alias("of_x"), F.explode(F.when(F.col("stands"), edits).otherwise(F.col("lead"))).alias("key"))
-    asked = placed.select("a", F.col("b").alias("y"), F.col("component").alias("of_y"), F.explode(asks).alias("key"))
-    met = held.join(asked, ["a", "key"]).where("of_x <> of_y").select("a", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct()
+    held = placed.where(~F.col("linked")).select("a", F.col("b").alias("x"), F.col("component").alias("of_x"), F.col("sketch").alias("of_x_bits"), F.explode(F.when(F.col("stands"), edits).otherwise(F.col("lead"))).alias("key"))
+    asked = placed.select("a", F.col("b").alias("y"), F.col("component").alias("of_y"), F.col("sketch").alias("of_y_bits"), F.explode(asks).alias("key"))
+    differing = sum((F.bit_count(F.col("of_x_bits")[k].bitwiseXOR(F.col("of_y_bits")[k])) for k in range(SKETCH)), F.lit(0))
+    met = held.join(asked, ["a", "key"]).where((F.col("of_x") != F.col("of_y")) & (differing <= VALUES - least_bits(percent))).select("a", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct()
     met = scratch.save(met, "met")
     side = lambda n: compared.select("a", F.col("b").alias(n), *(F.col(c).alias(f"{c}_{n}") for c in ("size", "added", "gone")))
     both = met.join(side("p"), ["a", "p"]).join(side("q").drop("size_q"), ["a", "q"])
     same = F.size(F.array_intersect("added_p", "added_q")) + F.size(F.array_intersect("gone_p", "gone_q"))
     inter = F.col("size_p") - F.size("gone_p") - F.size("gone_q") + same
     union = F.col("size_p") + F.size("added_p") + F.size("added_q") - same
-    return both.where(100 * inter >= percent * union).select(F.col("p").alias("a"), F.col("q").alias("b")).distinct()
+    return both.where(100 * inter >= percent * union).select(F.col("p").alias("a"), F.col("q").alias("b")).distinct().unionByName(blocks)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -185,10 +251,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     arrow_batches(spark)
     scratch = Scratch(spark, "near-dups")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    signed = scratch.save(texts.mapInArrow(_signatures(words), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signatures")
+    signed = scratch.save(texts.mapInArrow(_signatures(words), "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "signatures")
     with_id = signed.where("doc_id is not null and n_shingles > 0")
     classes = scratch.save(with_id.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     members = with_id.join(classes, (with_id["digest"] == classes["digest"]) & (with_id["doc_id"] == classes["node"]), "left_semi")
+    sketches = members.select(F.col("doc_id").alias("node"), "sketch").dropDuplicates(["node"])
     entries = members.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
     centres = entries.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last").drop("last")
     shared = scratch.save(entries.join(centres, "bucket"), "shared")
@@ -204,7 +271,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     compared = scratch.save(first.unionByName(second).join(again, ["a", "b"], "left_semi"), "compared")
     direct = first.unionByName(second).where("linked").select("a", "b")
     direct = scratch.save(components(direct, scratch, "direct"), "joined")
-    links = direct.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(_links_past_centres(compared, direct, percent, scratch))
+    links = direct.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(_links_past_centres(compared, direct, sketches, percent, scratch))
     found = scratch.save(components(links, scratch, "all"), "components")
     # rows that share an id are one document: their classes have one node
     labels = scratch.save(classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component")), "labels")

@@ -77,6 +77,17 @@ def test_near_duplicates(spark, seed, k):
     assert {r.doc_id for r in left.collect()} == {i for i, c in want.items() if i == c} and left.columns == ["doc_id", "text", "node", "_id"]
 
 
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates_by_blocks(spark, monkeypatch, k):
+    """Full centres, compared block by block, give the same groups."""
+    monkeypatch.setattr(near_dups, "FULL", 8)
+    monkeypatch.setattr(near_dups, "BLOCK", 16)
+    docs = near_corpus(4)
+    _, want = brute(docs, k)
+    got = near_dups.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=k).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_near_duplicates_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(3, text), (3, text), (2, text + " x"), (None, text), (None, None), (4, "other words here")], "doc_id long, text string")
@@ -95,7 +106,8 @@ def test_band_recall():
             both, own = int(round(j * 180)), int(round((1 - j) * 90))
             a = rng.integers(0, 1 << 63, both + 2 * own).astype(np.uint64)
             x, y = np.unique(a[: both + own]), np.unique(np.concatenate([a[:both], a[both + own :]]))
-            met[j] += bool((near_dups.bands([x]) == near_dups.bands([y])).any())
+            (p, f), (q, g) = near_dups.signatures([x]), near_dups.signatures([y])
+            met[j] += bool((p == q).any()) and near_dups.VALUES - int(np.bitwise_count((f ^ g).view(np.uint64)).sum()) >= near_dups.least_bits(80)
     assert met[0.8] == 300 and met[0.1] <= 2
 
 
