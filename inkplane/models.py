@@ -39,6 +39,31 @@ def detect(tiles: DataFrame, make: Callable[[], Callable[[dict], list[list[float
     return tiles.mapInArrow(run, DETECTED)
 
 
+PAGES = "stem string, page int, pages int, name string, height int, width int, channels int, pixels binary"
+
+
+def rasterise(pdfs: DataFrame, make: Callable[[], Callable[[bytes, int], list[tuple[int, int, int, bytes]]]], dpi: int, extension: str = "png") -> DataFrame:
+    """A row for each page of PDF files (stem, content). The rasteriser gives height, width, channels and
+    samples of all pages of a file; one that fails gives a row without pixels, and the others go on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = cache(make)()
+        kinds = [("stem", pa.string()), ("page", pa.int32()), ("pages", pa.int32()), ("name", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("pixels", pa.binary())]
+        for b in batches:
+            for stem, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                try:
+                    found = model(content, dpi)
+                except Exception:  # whatever a PDF library raises for a broken file
+                    found = [(0, 0, 0, None)]
+                rows = []
+                for k, (h, w, c, data) in enumerate(found, 1):
+                    name = f"{stem}.{extension}" if len(found) == 1 else f"{stem}_page_{k:02d}.{extension}"
+                    rows.append((stem, k, len(found), name, h, w, c, data))
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [n for n, _ in kinds])
+
+    return pdfs.select("stem", "content").mapInArrow(run, PAGES)
+
+
 def stub_detector() -> Callable[[dict], list[list[float]]]:
     """Two boxes in every tile, by its place."""
     return lambda t: [[8.6, 8 + 40 + (t["x1"] + t["y1"]) % 23, 10.2, 26], [30, 44, 60, 60 + 50 + t["x1"] % 17]]

@@ -60,6 +60,11 @@ def recognise(crops: DataFrame, first: Callable, second: Callable, r: Recognitio
     return both.withColumn("result", cascade(F.col("first"), F.col("second"), r)).drop("first", "second")
 
 
+def with_crop(manifest: DataFrame, crops: DataFrame) -> DataFrame:
+    """Rows of the manifest whose crop is there."""
+    return manifest.join(crops.select("image", "crop_filename").distinct(), ["image", "crop_filename"], "left_semi")
+
+
 def annotations(recognised: DataFrame) -> DataFrame:
     """Rows with text, in the form they are stored; orientation is carried on."""
     out = recognised.where(F.coalesce(F.col("result.text") != "", F.lit(False)))

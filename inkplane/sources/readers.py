@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,12 +70,22 @@ def pdf_files(spark: SparkSession, path: str) -> DataFrame:
 _BOX = re.compile(rb"/MediaBox\s*\[\s*([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)\s*\]")
 
 
+def read_pdfs(spark: SparkSession, path: str) -> DataFrame:
+    """stem, pdf_path and content of all PDFs below a folder, whatever the case of their extension."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.lower("path").endswith(".pdf"))
+    return files.select(stem_of(F.col("path")).alias("stem"), F.col("path").alias("pdf_path"), "content")
+
+
 def pdf_sizes(spark: SparkSession, path: str) -> DataFrame:
     """stem, pdf_path, pdf_w, pdf_h (points) from the first plain MediaBox of each PDF; null if there is none."""
-    box = F.udf(lambda b: [float(x) for x in m.groups()] if (m := _BOX.search(bytes(b))) else None, "array<double>")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).where(F.lower("path").endswith(".pdf"))
-    files = files.select(stem_of(F.col("path")).alias("stem"), F.col("path").alias("pdf_path"), box("content").alias("b"))
-    return files.select("stem", "pdf_path", (F.col("b")[2] - F.col("b")[0]).alias("pdf_w"), (F.col("b")[3] - F.col("b")[1]).alias("pdf_h"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            boxes = [[float(x) for x in m.groups()] if (m := _BOX.search(c)) else None for c in b.column(2).to_pylist()]
+            sizes = [[None if x is None else x[k + 2] - x[k] for x in boxes] for k in range(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(s, pa.float64()) for s in sizes)], ["stem", "pdf_path", "pdf_w", "pdf_h"])
+
+    return read_pdfs(spark, path).mapInArrow(run, "stem string, pdf_path string, pdf_w double, pdf_h double")
 
 
 def page_name(stem: Column, page: Column, pages: Column, extension: Column) -> Column:

@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from inkplane import config, schemas
+from inkplane import config, models, schemas
 from inkplane.config import Tiling
-from inkplane.operators import crops, tiling
+from inkplane.operators import crops, drawing, recognition, tiling
 from inkplane.plans import pipeline
 from inkplane.sources import readers, writers
 from inkplane.streaming import detections as stream
@@ -113,3 +113,34 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(60)
     got = spark.read.parquet(str(tmp_path / "out")).first()
     assert (got.x0, got.y0, got.image) == (11, 22, "a")
+
+
+def test_outlines(spark):
+    page = np.zeros((20, 30, 3), np.uint8)
+    pages = spark.createDataFrame([("a", bytearray(page.tobytes()), 20, 30, 3), ("b", bytearray(page.tobytes()), 20, 30, 3)], "image string, pixels binary, height_px int, width_px int, channels int")
+    boxes = drawing.with_colours(spark.createDataFrame([("a", 5, 5, 25, 10, [[5, 5], [25, 5], [25, 10], [5, 10]]), ("a", -4, 12, 3, 99, [[0, 0]])], "image string, x0 int, y0 int, x1 int, y1 int, bbox array<array<int>>"))
+    got = {r.image: np.frombuffer(r.pixels, np.uint8).reshape(20, 30, 3) for r in drawing.outlined(pages, boxes).collect()}
+    assert not got["b"].any() and (got["a"][5, 5:26] == (0, 255, 0)).all() and not got["a"][7:9, 7:24].any()
+    assert (got["a"][19, 0:4] == (128, 128, 128)).all()
+
+
+
+def test_rasterise(spark, tmp_path):
+    for name, content in (("one.pdf", b"x"), ("two.PDF", b"yz"), ("bad.pdf", b"broken"), ("other.txt", b"q")):
+        (tmp_path / name).write_bytes(content)
+
+    def make():
+        def pages(content, dpi):
+            if content == b"broken":
+                raise ValueError("no PDF")
+            return [(1, dpi, 1, content)] * len(content)
+
+        return pages
+
+    got = models.rasterise(readers.read_pdfs(spark, str(tmp_path)), make, 300)
+    assert {(r.name, r.page, r.pages, r.width) for r in got.collect()} == {("one.png", 1, 1, 300), ("two_page_01.png", 1, 2, 300), ("two_page_02.png", 2, 2, 300), ("bad.png", 1, 1, 0)}
+
+
+def test_manifest_rows_with_crops(spark):
+    m = spark.createDataFrame([("a", "crop_0000.png"), ("a", "crop_0001.png")], "image string, crop_filename string")
+    assert recognition.with_crop(m, m.limit(1)).count() == 1
