@@ -165,6 +165,45 @@ def test_repeated_lines_odd_rows(spark):
     assert line_dups.deduplicate_lines(empty).count() == 0
 
 
+def brute_passages(docs, m):
+    """Words of runs of m words that stand earlier, in texts without repeated lines."""
+    first, gone = set(), collections.defaultdict(set)
+    for i, t in sorted(docs):
+        w = t.split()
+        for a in range(len(w) - m + 1):
+            if (run := tuple(w[a : a + m])) in first:
+                gone[i] |= set(range(a, a + m))
+            first.add(run)
+    return gone
+
+
+def test_repeated_passages(spark):
+    """Runs of 50 words and more inside longer lines that differ, over a line's end, and twice in one text."""
+    rnd = random.Random(6)
+    new = lambda n: [f"w{rnd.randrange(10**9)}" for _ in range(n)]
+    passages, docs = [new(n) for n in (49, 50, 51, 54, 120)], []
+    for i in range(60):
+        words = new(rnd.randint(1, 40))
+        for _ in range(rnd.randint(1, 3)):
+            words += rnd.choice(passages) + new(rnd.randint(1, 40))
+        for a in rnd.sample(range(1, len(words)), 2) if i % 2 else []:
+            words[a] = "\n" + words[a]
+        docs.append((i, " ".join(words)))
+    docs.append((60, " ".join(["a", "b"] * 200)))
+    gone = brute_passages(docs, 50)
+    got = {r.doc_id: r for r in line_dups.deduplicate_lines(spark.createDataFrame([(i, t, len(t)) for i, t in docs], "doc_id long, text string, n_chars int").repartition(4)).collect()}
+    assert {i: got[i].text.split() for i, _ in docs} == {i: [w for k, w in enumerate(t.split()) if k not in gone[i]] for i, t in docs}
+    assert all((r.n_deleted > 0) == bool(gone[i]) and r.n_chars == len(r.text) for i, r in got.items())
+    assert all(got[i].text == t for i, t in docs if not gone[i]) and sum(map(bool, gone.values())) > 40
+
+
+def test_without_passages():
+    cut = line_dups.without_passages
+    assert cut("a b c\nd  e f g", [1, 2], 2) == ("a e f g", 1) and cut(" a b c d", [0, 2], 2) == (" ", 1)
+    assert cut("a b c\nd e", [1], 2) == ("a\nd e", 1) and cut("a b c d e f", [1, 4], 1) == ("a c d f", 2)
+    assert line_dups.joints("a b\n\nc\nd e\nf", {1, 3}) == [2, 4]
+
+
 def test_line_runs():
     rnd = random.Random(2)
     for _ in range(500):
