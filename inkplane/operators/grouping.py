@@ -51,6 +51,22 @@ def contained(boxes: DataFrame, g: Grouping) -> DataFrame:
     return met.distinct() if g.contained_box_threshold < 0.5 else met
 
 
+def overlapping(boxes: DataFrame, g: Grouping) -> DataFrame:
+    """(image, i, j, iou, share_i, share_j) of all pairs i < j that share area; all others share none. A
+    pair meets in each cell that both touch and counts in the one that holds its shared area's low corner."""
+
+    def touch(name: str) -> DataFrame:
+        b = G.Box.of()
+        rows = _side(boxes, name, F.explode(G.cells(b.x0, b.x1, g.cell)).alias("gx"), b.y0.alias("_low"), b.y1.alias("_high"))
+        return rows.select("*", F.explode(G.cells(F.col("_low"), F.col("_high"), g.cell)).alias("gy")).drop("_low", "_high")
+
+    i, j = _box("i"), _box("j")
+    met = touch("i").join(touch("j"), ["image", "gx", "gy"]).where("idx_i < idx_j")
+    met = met.where((F.col("gx") == G.cell_of(F.greatest(i.x0, j.x0), g.cell)) & (F.col("gy") == G.cell_of(F.greatest(i.y0, j.y0), g.cell)))
+    met = met.where(G.intersection(i, j) > 0)
+    return met.select("image", F.col("idx_i").alias("i"), F.col("idx_j").alias("j"), G.iou(i, j).alias("iou"), G.contained_share(i, j).alias("share_i"), G.contained_share(j, i).alias("share_j"))
+
+
 def conflicts(boxes: DataFrame, g: Grouping) -> DataFrame:
     """(image, i, j, victim), i < j: of a pair the lower index goes if it is contained, else the other."""
     found = contained(boxes, g)

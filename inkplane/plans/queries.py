@@ -58,7 +58,8 @@ def _regions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _some_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs at a few distances of index, so that both engines list the same small set."""
+    """Pairs at a few distances of index, so that both engines list the same small set: a sample that holds
+    the rules against SQL. All pairs are in pair_overlaps and pair_reasons."""
     b = X.boxes(spark, d)
     a = b.select("image", *(F.col(c).alias(f"{c}_i") for c in ["idx", *grouping.BOX]), F.explode(F.expr("array(idx + 1, idx + 2, idx + 10, idx + 1000)")).alias("idx_j"))
     return a.join(b.select("image", *(F.col(c).alias(f"{c}_j") for c in ["idx", *grouping.BOX])), ["image", "idx_j"])
@@ -155,6 +156,18 @@ def connect_reason(spark, d):
     return _some_pairs(spark, d).select("image", F.col("idx_i").alias("i"), F.col("idx_j").alias("j"), reason.alias("reason"))
 
 
+@query()
+def pair_overlaps(spark, d):
+    """IoU and contained shares of all pairs of an image; pairs that aren't listed share no area."""
+    return grouping.overlapping(X.boxes(spark, d), CONFIG.grouping)
+
+
+@query()
+def pair_reasons(spark, d):
+    """The decision on all pairs of an image that pass the primary filter; pairs that aren't listed fail it."""
+    return grouping.decided_pairs(X.boxes(spark, d), CONFIG.grouping)
+
+
 @query("SELECT image, i, j, reason FROM edge", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE)
 def link_edges(spark, d):
     return grouping.link_edges(_live(spark, d), CONFIG.grouping)

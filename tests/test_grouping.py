@@ -139,3 +139,53 @@ def test_pairs_checked(spark):
         if n:
             want[k] = n
     assert got == want
+
+
+def all_pairs(images):
+    return {(k, i, j): (boxes[i], boxes[j]) for k, boxes in images.items() for j in range(len(boxes)) for i in range(j)}
+
+
+def shared_area(a, b):
+    return max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
+
+
+def area(b):
+    return (b[2] - b[0]) * (b[3] - b[1])
+
+
+def reaches(a, b):
+    """Whether two boxes i < j have one orientation and the smaller one's centre is in reach of the larger."""
+    size = lambda x: (x[2] - x[0], x[3] - x[1])
+    large, small = (a, b) if area(a) >= area(b) else (b, a)
+    flat = size(a)[0] > size(a)[1], size(b)[0] > size(b)[1]
+    return flat[0] == flat[1] and all(large[n] - size(large)[n] / 2 <= (small[n] + small[n + 2]) / 2 <= large[n + 2] + size(large)[n] / 2 for n in (0, 1))
+
+
+def fixture_images(spark, sf_dir):
+    out = {}
+    for r in Q.X.boxes(spark, sf_dir).where("image < 3").collect():
+        out.setdefault(r.image, []).append((r.idx, (r.x0, r.y0, r.x1, r.y1)))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+@pytest.mark.parametrize("cell", [32, 128])
+def test_all_overlapping_pairs(spark, cell):
+    images = random_images(8)
+    got = grouping.overlapping(frame(spark, images), Grouping(cell=cell)).collect()
+    want = {k: (s / (area(a) + area(b) - s), s / area(a), s / area(b)) for k, (a, b) in all_pairs(images).items() if (s := shared_area(a, b))}
+    assert {(r.image, r.i, r.j): (r.iou, r.share_i, r.share_j) for r in got} == want and len(got) == len(want) > 100
+
+
+def test_pair_queries_have_all_pairs(spark, sf_dir):
+    """Every pair of an image is decided, whatever the distance of its indices."""
+    named = fixture_images(spark, sf_dir)
+    pairs = {(k, v[i][0], v[j][0]): (v[i][1], v[j][1]) for k, v in named.items() for j in range(len(v)) for i in range(j)}
+    overlap = {(r.image, r.i, r.j): (r.iou, r.share_i, r.share_j) for r in Q.queries()["pair_overlaps"](spark, sf_dir).where("image < 3").collect()}
+    assert overlap == {k: (s / (area(a) + area(b) - s), s / area(a), s / area(b)) for k, (a, b) in pairs.items() if (s := shared_area(a, b))}
+    decided = Q.queries()["pair_reasons"](spark, sf_dir).where("image < 3").collect()
+    passing = {k for k, (a, b) in pairs.items() if reaches(a, b)}
+    assert {(r.image, r.i, r.j) for r in decided} == passing and len(decided) == len(passing)
+    assert not any(r.reason.startswith("primary") for r in decided)
+    assert {j - i for _, i, j in passing} - {1, 2, 10, 1000}
+    sample = {(r.image, r.i, r.j): r.reason for r in Q.connect_reason(spark, sf_dir).where("image < 3").collect()}
+    assert {k: r for k, r in sample.items() if not r.startswith("primary")} == {k: r.reason for r in decided if (k := (r.image, r.i, r.j)) in sample}
