@@ -284,7 +284,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def first_of_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs whose document is the first of its group; all columns. Repeated rows of one id
-    and text are one document and leave one row."""
-    found = near_duplicates(docs, words, percent).where("doc_id is not null and not kept").select("doc_id").distinct()
-    key = free_name(docs, "_id")
-    return docs.withColumn(key, F.col("doc_id").cast("long")).join(found.withColumnRenamed("doc_id", key), key, "left_anti").select(*docs.columns)
+    and text are one document and leave one row, the least by its columns in turn; rows without an id all stay."""
+    scratch = Scratch(docs.sparkSession, "first-of-groups")
+    found = near_duplicates(docs, words, percent).where("doc_id is not null").groupBy("doc_id").agg(F.bool_and("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    key, digest, row = (free_name(docs, c) for c in ("_id", "_digest", "_row"))
+    found = scratch.save(found.where("not kept or n > 1").select(F.col("doc_id").alias(key), "kept"), "found")
+    keyed = docs.withColumn(key, F.col("doc_id").cast("long"))
+    single = keyed.join(found.select(key), key, "left_anti").select(*docs.columns)
+    repeated = keyed.join(found.where("kept").select(key), key, "left_semi").withColumn(digest, F.xxhash64(text_or_empty()))
+    least = repeated.groupBy(key, digest).agg(F.min(F.struct(*docs.columns)).alias(row))
+    return single.unionByName(least.select(*(F.col(row)[c].alias(c) for c in docs.columns)))

@@ -97,6 +97,15 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dups.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_near_duplicates_repeated_rows(spark):
+    """Of rows with one id and text one stays, also where that id is its group's first or has no copies."""
+    text, other = " ".join(f"w{i}" for i in range(40)), "words of its own"
+    rows = [(2, text, "b"), (2, text, "a"), (2, text, "b"), (3, text + " x", "a"), (4, other, "z"), (4, other, "z"), (5, "here once", "q"), (None, other, "n"), (None, other, "n"), (6, "", "e"), (6, "", "e")]
+    left = near_dups.first_of_groups(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), 2).collect()
+    want = [(2, text, "a"), (4, other, "z"), (5, "here once", "q"), (6, "", "e"), (None, other, "n"), (None, other, "n")]
+    assert sorted(map(tuple, left), key=repr) == sorted(want, key=repr)
+
+
 def test_band_recall():
     """At a resemblance of 0.8 pairs share a band with near certainty; far pairs hardly ever do."""
     rng = np.random.default_rng(3)
