@@ -123,6 +123,23 @@ def in_reach(large: Box, small: Box, factor: float) -> Column:
     return small.cx.between(large.x0 - dx, large.x1 + dx) & small.cy.between(large.y0 - dy, large.y1 + dy)
 
 
+#: The reasons of a decision on two boxes, in the order of the rules.
+REASONS = (
+    "primary_filter_failed_orientation_mismatch",
+    "primary_filter_failed_not_spatial_neighbors",
+    "high_overlap",
+    "very_high_iou",
+    "horizontal_text_poor_vertical_alignment",
+    "horizontal_text_proximity",
+    "horizontal_text_too_distant",
+    "vertical_text_poor_horizontal_alignment",
+    "vertical_text_proximity",
+    "vertical_text_too_distant",
+)
+#: Those that link two boxes.
+LINKING = ("high_overlap", "very_high_iou", "horizontal_text_proximity", "vertical_text_proximity")
+
+
 def link_reason(a: Box, b: Box, a_larger: Column, g: Grouping) -> Column:
     """The rule that decides whether two boxes belong together; see LINKING."""
     reach = F.when(a_larger, in_reach(a, b, g.expansion_factor)).otherwise(in_reach(b, a, g.expansion_factor))
@@ -131,22 +148,11 @@ def link_reason(a: Box, b: Box, a_larger: Column, g: Grouping) -> Column:
     off_h = F.abs(a.cx - b.cx) >= F.least(a.w, b.w) * g.horizontal_alignment_factor
     near_h = F.least(F.abs(a.x0 - b.x1), F.abs(b.x0 - a.x1)) < F.greatest(a.h, b.h) * g.proximity_factor
     near_v = F.least(F.abs(a.y0 - b.y1), F.abs(b.y0 - a.y1)) < F.greatest(a.w, b.w) * g.proximity_factor
-    return (
-        F.when(a.horizontal != b.horizontal, "primary_filter_failed_orientation_mismatch")
-        .when(~reach, "primary_filter_failed_not_spatial_neighbors")
-        .when(share > g.iou_threshold, "high_overlap")
-        .when(share > g.high_iou_threshold, "very_high_iou")
-        .when(a.horizontal & off_v, "horizontal_text_poor_vertical_alignment")
-        .when(a.horizontal & near_h, "horizontal_text_proximity")
-        .when(a.horizontal, "horizontal_text_too_distant")
-        .when(off_h, "vertical_text_poor_horizontal_alignment")
-        .when(near_v, "vertical_text_proximity")
-        .otherwise("vertical_text_too_distant")
-    )
-
-
-#: The reasons that link two boxes.
-LINKING = ("high_overlap", "very_high_iou", "horizontal_text_proximity", "vertical_text_proximity")
+    rules = (
+        a.horizontal != b.horizontal, ~reach, share > g.iou_threshold, share > g.high_iou_threshold,
+        a.horizontal & off_v, a.horizontal & near_h, a.horizontal, off_h, near_v,
+    )
+    return F.coalesce(*(F.when(rule, reason) for rule, reason in zip(rules, REASONS, strict=False)), F.lit(REASONS[-1]))
 
 
 def cells(low: Column, high: Column, cell: int) -> Column:

@@ -25,7 +25,8 @@ def dimension_check(width: Column, height: Column, pdf_w: Column, pdf_h: Column,
         out[f"scale_{name}"] = F.when(pt > 0, px / pt).otherwise(F.lit(0.0))
         out[f"difference_{name}"] = F.bround(off, 2)
         within = within & (off <= c.tolerance_percent)
-    return out | {"compatible": within}
+    missing = width.isNull() | height.isNull() | pdf_w.isNull() | pdf_h.isNull()
+    return out | {"compatible": F.coalesce(within, F.lit(False)), "error": F.when(missing, "Missing image size or PDF dimensions")}
 
 
 def pdf_stem(name: Column) -> Column:
@@ -33,17 +34,36 @@ def pdf_stem(name: Column) -> Column:
 
 
 def validate(images: DataFrame, pdfs: DataFrame, c: Coordinates) -> DataFrame:
-    """image, compatible, error for each image (image, width, height), by the PDF of its name
-    (stem, pdf_path, pdf_w, pdf_h). error: the first reason for which sizes couldn't be compared."""
+    """image, compatible, error for each image (image, width, height, and error where its annotations couldn't be
+    read), by the PDF of its name (stem, pdf_path, pdf_w, pdf_h). error: the first reason for which sizes couldn't
+    be compared."""
     named = images.withColumn("stem", pdf_stem(F.col("image"))).join(pdfs, "stem", "left")
     checks = dimension_check(F.col("width"), F.col("height"), F.col("pdf_w"), F.col("pdf_h"), c)
+    unread = F.col("error") if "error" in images.columns else F.lit(None).cast("string")
     error = (
-        F.when(F.col("width").isNull() | F.col("height").isNull(), "image size missing")
+        F.when(unread.isNotNull(), unread)
+        .when(F.col("width").isNull() | F.col("height").isNull(), "image size missing")
         .when(F.lit(c.pdf_base_dir is None), "PDF folder not configured")
         .when(F.col("pdf_path").isNull(), "PDF not found")
         .when(F.col("pdf_w").isNull() | F.col("pdf_h").isNull(), "PDF dimensions unreadable")
     )
-    return named.select("image", F.coalesce(checks["compatible"] & error.isNull(), F.lit(False)).alias("compatible"), error.alias("error"))
+    return named.select("image", F.coalesce(checks["compatible"] & error.isNull(), F.lit(False)).alias("compatible"), F.coalesce(error, checks["error"]).alias("error"))
+
+
+def annotation_sizes(annotations: DataFrame, broken: DataFrame) -> DataFrame:
+    """What validate takes, from annotation files' rows (file_path, original_image_size) and the files that can't
+    be read (file_path): a row for each file, with the size its first item has or the error."""
+    name = lambda c: F.regexp_extract(c, r"([^/\\\\]*?)(\.[^./\\\\]*)?$", 1)
+    size = F.first("original_image_size", ignorenulls=True)
+    good = annotations.groupBy(name(F.col("file_path")).alias("image")).agg(size.alias("s"))
+    good = good.select("image", F.get("s", F.lit(0)).alias("width"), F.get("s", F.lit(1)).alias("height"), F.lit(None).cast("string").alias("error"))
+    bad = broken.select(name(F.col("file_path")).alias("image"), F.lit(None).cast("int").alias("width"), F.lit(None).cast("int").alias("height"), F.lit("annotations unreadable").alias("error"))
+    return good.unionByName(bad)
+
+
+def validation_failures(validated: DataFrame) -> DataFrame:
+    """The images that aren't compatible, a row each; validation_summary has their names in one cell, for a report."""
+    return validated.where(~F.col("compatible")).select("image", "error")
 
 
 def validation_summary(validated: DataFrame) -> DataFrame:

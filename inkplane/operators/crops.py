@@ -46,23 +46,44 @@ def first_file(names: DataFrame, files: DataFrame, extensions: list[str]) -> Dat
 def crop_pixels(windows: DataFrame) -> DataFrame:
     """Adds pixels, height_px and width_px: the window's bytes from the image data source's struct
     (rows from the top, nChannels bytes a pixel). One row in, one row out."""
+    kept = [f for f in windows.schema.fields if f.name != "image_data"]
+    one = F.array(F.struct(*(f.name for f in kept)))
+    return _cut(windows.select(one.alias("windows"), "image_data"), kept)
+
+
+def cut_crops(windows: DataFrame, images: DataFrame) -> DataFrame:
+    """The same for the windows of images (image, image_data): an image's pixels are read once, for all its windows."""
+    kept = windows.schema.fields
+    by = windows.groupBy("image").agg(F.collect_list(F.struct(*windows.columns)).alias("windows"))
+    return _cut(images.select("image", "image_data").join(by, "image").select("windows", "image_data"), kept)
 
+
+def _cut(listed: DataFrame, kept: list) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
         for b in batches:
-            rows = b.to_pylist()
-            for r in rows:
-                im = r.pop("pixels_of")
-                page = np.frombuffer(im["data"], np.uint8).reshape(im["height"], im["width"], im["nChannels"])
-                part = page[r["top"] : r["bottom"], r["left"] : r["right"]]
-                r |= {"pixels": part.tobytes(), "height_px": part.shape[0], "width_px": part.shape[1], "channels": part.shape[2]}
-            yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([*(f for f in b.schema if f.name != "pixels_of"), ("pixels", pa.binary()), ("height_px", pa.int32()), ("width_px", pa.int32()), ("channels", pa.int32())]))
+            kinds = pa.schema([*b.schema.field(0).type.value_type, ("pixels", pa.binary()), ("height_px", pa.int32()), ("width_px", pa.int32()), ("channels", pa.int32())])
+            for k in range(b.num_rows):
+                im = b.column(1)[k]
+                page = np.frombuffer(im["data"].as_buffer(), np.uint8).reshape(*(im[c].as_py() for c in ("height", "width", "nChannels")))
+                rows = b.column(0)[k].as_py()
+                for at in range(0, len(rows), 64):
+                    some = rows[at : at + 64]
+                    for r in some:
+                        part = page[r["top"] : r["bottom"], r["left"] : r["right"]]
+                        r |= {"pixels": part.tobytes(), "height_px": part.shape[0], "width_px": part.shape[1], "channels": part.shape[2]}
+                    yield pa.RecordBatch.from_pylist(some, schema=kinds)
 
-    kept = [f for f in windows.schema.fields if f.name != "image_data"]
-    plain = windows.select(*(f.name for f in kept), F.col("image_data").alias("pixels_of"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", pixels binary, height_px int, width_px int, channels int"
-    return plain.mapInArrow(run, schema)
+    return listed.mapInArrow(run, schema)
+
+
+def turned(pixels):
+    """An array of pixels turned clockwise by 90 degrees."""
+    import numpy as np
+
+    return None if pixels is None else np.rot90(pixels, k=-1)
 
 
 def rotate_clockwise(crops: DataFrame) -> DataFrame:
@@ -74,8 +95,8 @@ def rotate_clockwise(crops: DataFrame) -> DataFrame:
         for b in batches:
             rows = b.to_pylist()
             for r in rows:
-                turned = np.rot90(np.frombuffer(r["pixels"], np.uint8).reshape(r["height_px"], r["width_px"], r["channels"]), k=-1)
-                r |= {"pixels": turned.tobytes(), "height_px": turned.shape[0], "width_px": turned.shape[1]}
+                page = turned(np.frombuffer(r["pixels"], np.uint8).reshape(r["height_px"], r["width_px"], r["channels"]))
+                r |= {"pixels": page.tobytes(), "height_px": page.shape[0], "width_px": page.shape[1]}
             yield pa.RecordBatch.from_pylist(rows, schema=b.schema)
 
     return crops.mapInArrow(run, crops.schema)

@@ -3,17 +3,26 @@
 Boxes have image, idx (their canonical order within an image), x0, y0, x1, y1 and tile_id. Both
 spatial self-joins are equi-joins on (image, grid cell): a pair that can qualify meets in the one cell
 that holds a centre, so candidates grow with what lies near, not with the square of an image's boxes,
-and an image is spread over many tasks. Order-dependent steps fold an image's few conflict or link
-rows, never its boxes or pixels.
+and an image is spread over many tasks. Survivors and links are written once (linked), since all later steps
+read them several times. Order-dependent steps fold an image's few conflict or link rows, never its boxes
+or pixels, where it has at most FOLDED of them; images with more go round by round, by joins over all
+of them at once. Both ways give the same result.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Grouping
 from ..functions import geometry as G
+from ..scratch import Scratch
+
+#: Conflicts or links of an image that are folded in one row; the fold looks at all of them for each.
+FOLDED = 400
 
 BOX = ["x0", "y0", "x1", "y1"]
 
@@ -74,21 +83,66 @@ def conflicts(boxes: DataFrame, g: Grouping) -> DataFrame:
     return found.groupBy("image", i.alias("i"), j.alias("j")).agg(F.min("idx_in").alias("victim"))
 
 
-def suppressed(conflict: DataFrame) -> DataFrame:
-    """(image, idx) of boxes that go. Pairs are visited in order, and one with a dead box does nothing;
-    so the outcome isn't a plain anti-join. An image's conflicts are folded in order."""
+def _few_and_many(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of images with at most so many, and the others, None if there are none."""
+    many = rows.groupBy("image").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("image")
+    if many.isEmpty():
+        return rows, None
+    return rows.join(many, "image", "left_anti"), rows.join(many, "image", "left_semi")
+
+
+def deaths(conflict: DataFrame, most: int = FOLDED) -> DataFrame:
+    """(image, idx, i, j) of boxes that go, and the pair at which they do. Pairs are visited in order, and one
+    with a dead box does nothing; so the outcome isn't a plain anti-join."""
+    few, many = _few_and_many(conflict.select("image", "i", "j", "victim"), most)
 
-    def visit(dead: Column, e: Column) -> Column:
+    def visit(acc: Column, e: Column) -> Column:
+        dead = F.transform(acc, lambda d: d["victim"])
         over = F.array_contains(dead, e["i"]) | F.array_contains(dead, e["j"])
-        return F.when(over, dead).otherwise(F.array_append(dead, e["victim"]))
+        return F.when(over, acc).otherwise(F.array_append(acc, e))
 
-    pairs = conflict.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("i", "j", "victim"))).alias("pairs"))
-    kind = f"array<{conflict.schema['victim'].dataType.simpleString()}>"
-    return pairs.select("image", F.explode(F.aggregate("pairs", F.array().cast(kind), visit)).alias("idx"))
+    kind = {f.name: f.dataType.simpleString() for f in conflict.schema.fields}
+    pairs = few.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("i", "j", "victim"))).alias("pairs"))
+    empty = F.array().cast(f"array<struct<i:{kind['i']},j:{kind['j']},victim:{kind['victim']}>>")
+    out = pairs.select("image", F.explode(F.aggregate("pairs", empty, visit)).alias("e")).select("image", F.col("e.victim").alias("idx"), "e.i", "e.j")
+    return out if many is None else out.unionByName(deaths_by_rounds(many))
+
+
+def deaths_by_rounds(conflict: DataFrame) -> DataFrame:
+    """The same for images of any size. A pair is decided once no earlier pair that is still open can kill one of
+    its boxes: then both live, and its victim dies. Pairs after a box's death go, and the rest is looked at again."""
+    scratch = Scratch(conflict.sparkSession, "deaths")
+    left, found, k = scratch.save(conflict.select("image", "i", "j", "victim"), "left-0"), [], 0
+    at = F.struct("i", "j")
+    while not left.isEmpty():
+        first = left.groupBy("image", "victim").agg(F.min(at).alias("first"))
+        both = left
+        for side in "ij":
+            both = both.join(first.select("image", F.col("victim").alias(side), F.col("first").alias(f"first_{side}")), ["image", side], "left")
+        ready = F.coalesce(F.col("first_i") >= at, F.lit(True)) & F.coalesce(F.col("first_j") >= at, F.lit(True))
+        dead = scratch.save(both.where(ready).select("image", F.col("victim").alias("idx"), "i", "j"), f"dead-{k}")
+        found.append(dead)
+        both = left
+        for side in "ij":
+            both = both.join(dead.select("image", F.col("idx").alias(side), at.alias(f"died_{side}")), ["image", side], "left")
+        open_ = F.coalesce(at < F.col("died_i"), F.lit(True)) & F.coalesce(at < F.col("died_j"), F.lit(True))
+        k += 1
+        left = scratch.save(both.where(open_).select("image", "i", "j", "victim"), f"left-{k}")
+        scratch.drop(f"left-{k - 1}")
+    out = found[0] if found else conflict.select("image", F.col("victim").alias("idx"), "i", "j").where("false")
+    for dead in found[1:]:
+        out = out.unionByName(dead)
+    return out
+
+
+def suppressed(conflict: DataFrame) -> DataFrame:
+    """(image, idx) of boxes that go."""
+    return deaths(conflict).select("image", "idx")
 
 
 def survivors(boxes: DataFrame, g: Grouping) -> DataFrame:
-    return boxes.join(suppressed(conflicts(boxes, g)), ["image", "idx"], "left_anti")
+    found = Scratch(boxes.sparkSession, "conflicts").save(conflicts(boxes, g), "conflicts")
+    return boxes.join(suppressed(found), ["image", "idx"], "left_anti")
 
 
 def reach_pairs(boxes: DataFrame, g: Grouping) -> DataFrame:
@@ -116,12 +170,17 @@ def link_edges(boxes: DataFrame, g: Grouping) -> DataFrame:
     return decided_pairs(boxes, g).where(F.col("reason").isin(*G.LINKING))
 
 
-def components(boxes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(image, idx, component): the lowest index a box is linked to, directly or not.
+def linked(boxes: DataFrame, g: Grouping) -> tuple[DataFrame, DataFrame]:
+    """Survivors and their links, each written once."""
+    scratch = Scratch(boxes.sparkSession, "grouping")
+    live = scratch.save(survivors(boxes, g), "live")
+    return live, scratch.save(link_edges(live, g), "links")
 
-    An image's edges are folded into a map from box to label; boxes without edges are their own. For
-    images with more edges than a row should hold see components_iterative.
-    """
+
+def components(boxes: DataFrame, edges: DataFrame, most: int = FOLDED) -> DataFrame:
+    """(image, idx, component): the lowest index a box is linked to, directly or not; boxes without links are
+    their own. An image's links are folded into a map from box to label if there are at most so many."""
+    few, many = _few_and_many(edges.select("image", "i", "j"), most)
 
     def join(labels: Column, e: Column) -> Column:
         a, b = F.coalesce(labels[e["i"]], e["i"]), F.coalesce(labels[e["j"]], e["j"])
@@ -132,27 +191,32 @@ def components(boxes: DataFrame, edges: DataFrame) -> DataFrame:
         return F.when(low == high, labels).otherwise(F.map_concat(kept, new))
 
     kind = edges.schema["i"].dataType.simpleString()
-    by_image = edges.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("i", "j"))).alias("edges"))
+    by_image = few.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("i", "j"))).alias("edges"))
     empty = F.map_from_arrays(F.array().cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
     labels = by_image.select("image", F.explode(F.aggregate("edges", empty, join)).alias("idx", "component"))
+    if many is not None:
+        linked_ = many.select("image", F.explode(F.array("i", "j")).alias("idx")).distinct()
+        labels = labels.unionByName(components_iterative(linked_, many).select("image", "idx", "component"))
     return boxes.select("image", "idx").join(labels, ["image", "idx"], "left").withColumn("component", F.coalesce("component", "idx"))
 
 
 def components_iterative(boxes: DataFrame, edges: DataFrame) -> DataFrame:
     """The same by passing least labels along edges and jumping to the label's label, for graphs of any
-    size. Each round is checkpointed to spark.checkpoint.dir."""
-    both = edges.select("image", "i", "j").unionByName(edges.select("image", F.col("j").alias("i"), F.col("i").alias("j"))).checkpoint()
-    labels, before = boxes.select("image", "idx", F.col("idx").alias("component")), None
+    size. Each round is written to the shared folder."""
+    scratch = Scratch(boxes.sparkSession, "components")
+    both = scratch.save(edges.select("image", "i", "j").unionByName(edges.select("image", F.col("j").alias("i"), F.col("i").alias("j"))), "edges")
+    labels, before, k = scratch.save(boxes.select("image", "idx", F.col("idx").alias("component")), "labels-0"), None, 0
     while True:
-        labels = labels.checkpoint()
         now = labels.agg(F.sum("component")).first()[0]
         if now == before:
-            return labels
+            return labels.select("image", "idx", "component")
         before = now
         near = both.join(labels.withColumnRenamed("idx", "j"), ["image", "j"]).groupBy("image", F.col("i").alias("idx")).agg(F.min("component").alias("seen"))
         least = labels.join(near, ["image", "idx"], "left").select("image", "idx", F.least("component", F.coalesce("seen", "component")).alias("component"))
         jump = least.select("image", F.col("idx").alias("component"), F.col("component").alias("further"))
-        labels = least.join(jump, ["image", "component"]).select("image", "idx", F.col("further").alias("component"))
+        k += 1
+        labels = scratch.save(least.join(jump, ["image", "component"]).select("image", "idx", F.col("further").alias("component")), f"labels-{k}")
+        scratch.drop(f"labels-{k - 1}")
 
 
 def keep_larger(members: DataFrame, g: Grouping) -> DataFrame:
@@ -164,38 +228,69 @@ def keep_larger(members: DataFrame, g: Grouping) -> DataFrame:
 
 
 def merge_clusters(members: DataFrame) -> DataFrame:
-    """One envelope for each component; rotation and type are those of its lowest index."""
+    """One envelope for each component; rotation, type, source and sizes are those of its lowest index. Tiles,
+    their numbers, paths and grid positions are listed once each where members have them; positions by
+    first member, without those that say MERGED."""
     first = lambda c: F.min_by(c, "idx").alias(c)
-    carried = [c for c in ("rotation_angle", "source_image", "detection_type", "original_image_size") if c in members.columns]
-    return members.groupBy("image", "component").agg(
+    have = set(members.columns)
+    carried = [c for c in ("rotation_angle", "source_image", "detection_type", "original_image_size", "tile_size") if c in have]
+    more = []
+    if "tile_number" in have:
+        more.append(F.array_sort(F.collect_set("tile_number")).alias("tile_numbers"))
+    if "tile_path" in have:
+        more.append(F.array_sort(F.collect_set("tile_path")).alias("tile_paths"))
+    if "grid_position" in have:
+        in_order = F.transform(F.array_sort(F.collect_list(F.struct("idx", F.col("grid_position").alias("p")))), lambda x: x["p"])
+        text = members.schema["grid_position"].dataType.simpleString() == "string"
+        more.append(F.array_distinct(F.filter(in_order, lambda p: p.isNotNull() & (p != "MERGED") if text else p.isNotNull())).alias("grid_positions"))
+    out = members.groupBy("image", "component").agg(
         F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max("x1").alias("x1"), F.max("y1").alias("y1"),
         F.array_sort(F.collect_set(F.coalesce("tile_id", F.lit("UNKNOWN")))).alias("tile_ids"),
-        F.count(F.lit(1)).alias("n_boxes"), *map(first, carried),
+        F.count(F.lit(1)).alias("n_boxes"), *more, *map(first, carried),
     )
+    return out.withColumn("source_tiles_count", F.size("tile_ids"))
 
 
 def group_boxes(boxes: DataFrame, g: Grouping) -> DataFrame:
     """Final text regions: suppression, links, components, merge."""
-    left = survivors(boxes, g)
-    placed = left.join(components(left, link_edges(left, g)), ["image", "idx"])
+    live, links = linked(boxes, g)
+    placed = live.join(components(live, links), ["image", "idx"])
     return merge_clusters(keep_larger(placed, g) if g.contained_box_threshold > g.high_iou_threshold else placed)
 
 
 def pairs_checked(boxes: DataFrame, conflict: DataFrame) -> DataFrame:
-    """(image, pairs): pairs the ordered visit looks at while both boxes live. A pair counts unless one
-    of its boxes died at an earlier pair."""
+    """(image, pairs): pairs the ordered visit looks at while both boxes live, told from the deaths alone.
 
-    def visit(acc: Column, e: Column) -> Column:
-        dead = F.transform(acc, lambda d: d["victim"])
-        over = F.array_contains(dead, e["i"]) | F.array_contains(dead, e["j"])
-        return F.when(over, acc).otherwise(F.array_append(acc, e))
-
-    pairs = conflict.groupBy("image").agg(F.array_sort(F.collect_list(F.struct("i", "j", "victim"))).alias("pairs"))
-    kind = conflict.schema["victim"].dataType.simpleString()
-    deaths = pairs.select("image", F.explode(F.aggregate("pairs", F.array().cast(f"array<struct<i:{kind},j:{kind},victim:{kind}>>"), visit)).alias("e"))
-    deaths = deaths.select("image", F.col("e.victim").alias("idx"), F.struct("e.i", "e.j").alias("died"))
-    marked = boxes.select("image", "idx").join(deaths, ["image", "idx"], "left").alias("a")
-    other = marked.alias("b")
-    at = F.struct(F.col("a.idx").alias("i"), F.col("b.idx").alias("j"))
-    seen = (F.col("a.died").isNull() | (at <= F.col("a.died"))) & (F.col("b.died").isNull() | (at <= F.col("b.died")))
-    return marked.join(other, (F.col("a.image") == F.col("b.image")) & (F.col("a.idx") < F.col("b.idx"))).where(seen).groupBy(F.col("a.image").alias("image")).agg(F.count(F.lit(1)).alias("pairs"))
+    A box that dies as the second of a pair is no partner from the next row on, and has no row of its own; one
+    that dies as the first ends its row there. So of all pairs of the boxes' ranks those go that such deaths take.
+    """
+    died = deaths(Scratch(boxes.sparkSession, "conflicts").save(conflict, "conflicts"))
+    kind = boxes.schema["image"].dataType.simpleString()
+
+    def count(all_boxes: pa.Table, dead: pa.Table) -> pa.Table:
+        idx = sorted(all_boxes.column("idx").to_pylist())
+        rank = {x: k for k, x in enumerate(idx)}
+        n = len(idx)
+        second, first = [], []  # (own rank, row in which it dies), (own rank, rank of its last partner)
+        for x, i, j in zip(*(dead.column(c).to_pylist() for c in ("idx", "i", "j")), strict=True):
+            (second if x == j else first).append((rank[x], rank[i if x == j else j]))
+        pairs = n * (n - 1) // 2 - sum(n - 1 - a for a, _ in second) - sum(n - 1 - last for _, last in first)
+        ranks, ended = sorted(b for b, _ in second), sorted((last, a) for a, last in first)
+        tree, k = [0] * (n + 1), 0  # counts of rows that have ended, by their rank
+        for b, row in sorted(second):
+            while k < len(ended) and ended[k][0] < b:
+                at, k = ended[k][1] + 1, k + 1
+                while at <= n:
+                    tree[at] += 1
+                    at += at & -at
+            after, at = k, row + 1
+            while at:
+                after -= tree[at]
+                at -= at & -at
+            between = b - row - 1 - (bisect_left(ranks, b) - bisect_right(ranks, row))
+            pairs -= between - after
+        if pairs <= 0:
+            return pa.table([all_boxes.column("image").slice(0, 0), pa.array([], pa.int64())], names=["image", "pairs"])
+        return pa.table([all_boxes.column("image").slice(0, 1), pa.array([pairs], pa.int64())], names=["image", "pairs"])
+
+    return boxes.select("image", "idx").groupBy("image").cogroup(died.groupBy("image")).applyInArrow(lambda a, b: count(a, b), f"image {kind}, pairs long")

@@ -68,6 +68,12 @@ def global_summary(summary: DataFrame) -> DataFrame:
     return total.select("*", ratio(F.col("before") - F.col("after"), F.col("before")).alias("reduction_ratio"))
 
 
+def time_summary(runs: DataFrame) -> DataFrame:
+    """Total, average, least and greatest seconds of run records."""
+    s = F.col("processing_time").cast("double")
+    return runs.agg(F.count(F.lit(1)).alias("runs"), F.sum(s).alias("total_s"), F.avg(s).alias("avg_s"), F.min(s).alias("min_s"), F.max(s).alias("max_s"))
+
+
 def detection_totals(detections: DataFrame) -> DataFrame:
     """By image, and over all where image is null."""
     return detections.rollup("image").agg(F.count(F.lit(1)).alias("detections"))

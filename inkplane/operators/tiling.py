@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +43,32 @@ def tile_grid(images: DataFrame, t: Tiling) -> DataFrame:
     )
 
 
+TILE_PIXELS = "image string, source_image string, tile_idx long, tile_id string, x1 long, y1 long, x2 long, y2 long, grid_row long, grid_col long, pixels binary, height_px int, width_px int, channels int"
+_TILE_PIXELS = pa.schema([("image", pa.string()), ("source_image", pa.string()), *((c, pa.int64()) for c in ("tile_idx",)), ("tile_id", pa.string()), *((c, pa.int64()) for c in ("x1", "y1", "x2", "y2", "grid_row", "grid_col")), ("pixels", pa.binary()), *((c, pa.int32()) for c in ("height_px", "width_px", "channels"))])
+
+
+def cut_tiles(images: DataFrame, t: Tiling) -> DataFrame:
+    """The tiles of tile_grid with their pixels, from images with image_data. An image's pixels never move:
+    its tiles are cut one by one where it was read."""
+    given = images.select(F.col("image").cast("string"), "source_image", starts(F.col("height"), t).alias("tops"), starts(F.col("width"), t).alias("lefts"), F.col("width").cast("long"), F.col("height").cast("long"), F.col("image_data.data").alias("data"), F.col("image_data.nChannels").alias("channels"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        for b in batches:
+            for k in range(b.num_rows):
+                r = {c: b.column(j)[k] for j, c in enumerate(b.schema.names)}
+                name, source, tops, lefts, width, height, channels = (r[c].as_py() for c in ("image", "source_image", "tops", "lefts", "width", "height", "channels"))
+                page = np.frombuffer(r["data"].as_buffer(), np.uint8).reshape(height, width, channels)
+                for row, y1 in enumerate(tops):
+                    for col, x1 in enumerate(lefts):
+                        part = page[y1 : min(y1 + t.tile_size, height), x1 : min(x1 + t.tile_size, width)]
+                        idx = row * len(lefts) + col
+                        yield pa.RecordBatch.from_pylist([{"image": name, "source_image": source, "tile_idx": idx, "tile_id": f"{name}_T{idx:04d}", "x1": x1, "y1": y1, "x2": x1 + part.shape[1], "y2": y1 + part.shape[0], "grid_row": y1 // t.step, "grid_col": x1 // t.step, "pixels": part.tobytes(), "height_px": part.shape[0], "width_px": part.shape[1], "channels": channels}], _TILE_PIXELS)
+
+    return given.mapInArrow(run, TILE_PIXELS)
+
+
 def tile_id(stem: Column, idx: Column) -> Column:
     return F.format_string("%s_T%04d", stem, idx)
 
@@ -71,9 +100,9 @@ def to_page(detections: DataFrame) -> DataFrame:
     return detections.withColumn("_quad", quad).withColumns({"x0": x0, "y0": y0, "x1": x1, "y1": y1, "tile_id": F.coalesce("tile_id", F.lit("UNKNOWN")), "tile_number": tile_number(F.coalesce("tile_id", F.lit("")))}).withColumn("bbox", F.col("_quad")).drop("_quad")
 
 
-def grouped_output(regions: DataFrame) -> DataFrame:
-    """Regions as they are stored; page sizes that aren't a pair drop the row."""
+def grouped_output(regions: DataFrame, *more: str) -> DataFrame:
+    """Regions as they are stored, with more columns on demand; page sizes that aren't a pair drop the row."""
     quad = G.corners(G.Box.of())
     pair = regions.where(F.size("original_image_size") == 2)
     normal = G.normalised(quad, F.col("original_image_size")[0], F.col("original_image_size")[1])
-    return pair.select("image", quad.alias("bbox"), normal.alias("bbox_normalized"), "rotation_angle", "source_image", "detection_type", "original_image_size", F.col("tile_ids").alias("grouped_from_tiles"), (F.size("tile_ids") > 1).alias("is_grouped"))
+    return pair.select("image", quad.alias("bbox"), normal.alias("bbox_normalized"), "rotation_angle", "source_image", "detection_type", "original_image_size", F.col("tile_ids").alias("grouped_from_tiles"), (F.size("tile_ids") > 1).alias("is_grouped"), *more)

@@ -46,8 +46,7 @@ def _live(spark: SparkSession, d: str, g: Grouping = CONFIG.grouping) -> DataFra
 
 
 def _placed(spark: SparkSession, d: str, g: Grouping = CONFIG.grouping) -> tuple[DataFrame, DataFrame]:
-    live = _live(spark, d, g)
-    edges = grouping.link_edges(live, g)
+    live, edges = grouping.linked(X.boxes(spark, d), g)
     return live.join(grouping.components(live, edges), ["image", "idx"]), edges
 
 
@@ -170,7 +169,7 @@ def pair_reasons(spark, d):
 
 @query("SELECT image, i, j, reason FROM edge", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE)
 def link_edges(spark, d):
-    return grouping.link_edges(_live(spark, d), CONFIG.grouping)
+    return grouping.linked(X.boxes(spark, d), CONFIG.grouping)[1]
 
 
 # Grouping.
@@ -244,14 +243,13 @@ def pairs_checked(spark, d):
 
 @query("SELECT image, count(*) AS pairs, count(*) FILTER (reason LIKE '%mismatch') AS orientation_mismatch, count(*) FILTER (reason LIKE '%neighbors') AS not_spatial_neighbors, " + ", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in statistics.COUNTED) + " FROM decided GROUP BY image", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE)
 def connection_stats(spark, d):
-    live = _live(spark, d)
+    live, _ = grouping.linked(X.boxes(spark, d), CONFIG.grouping)
     return statistics.connection_stats(live, grouping.decided_pairs(live, CONFIG.grouping))
 
 
 @query("SELECT n.image, nodes, coalesce(edges, 0) AS edges, coalesce(connected, 0) AS connected, nodes - coalesce(connected, 0) AS isolated FROM (SELECT image, count(*) AS nodes FROM live GROUP BY image) n LEFT JOIN (SELECT image, count(*) AS edges FROM edge GROUP BY image) e USING (image) LEFT JOIN (SELECT image, count(DISTINCT u) AS connected FROM (SELECT image, i AS u FROM edge UNION ALL SELECT image, j FROM edge) GROUP BY image) c USING (image)", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE)
 def graph_stats(spark, d):
-    live = _live(spark, d)
-    return statistics.graph_stats(live, grouping.link_edges(live, CONFIG.grouping))
+    return statistics.graph_stats(*grouping.linked(X.boxes(spark, d), CONFIG.grouping))
 
 
 @query("SELECT n_boxes AS size, count(*) AS components FROM region GROUP BY n_boxes", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE, X.COMPONENT_CTE)
@@ -520,7 +518,7 @@ def detector_stub(spark, d):
 def recogniser_stub(spark, d):
     """The cascade over stand-in recognisers, the second only for rows that the first leaves."""
     rows = crops.manifest(crops.crop_windows(_regions(spark, d), CONFIG.cropping))
-    done = recognition.recognise(rows, models.stub_recogniser("a", 3), models.stub_recogniser("b", 5), CONFIG.recognition)
+    done = recognition.recognise(rows, models.plugin(models.stub_recogniser, name="a", sure=3), models.plugin(models.stub_recogniser, name="b", sure=5), CONFIG.recognition)
     return recognition.method_totals(recognition.annotations(done))
 
 

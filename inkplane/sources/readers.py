@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -50,10 +51,18 @@ def stem_of(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/\\]*?)(\.[^./\\]*)?$", 1)
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """image (the stem), source_image, width, height and the pixels as image_data; unreadable files go."""
-    raw = spark.read.format("image").option("pathGlobFilter", "*.{png,jpg,jpeg,tiff,tif,PNG,JPG,JPEG,TIFF,TIF}").option("dropInvalid", True).load(path)
-    return raw.select(stem_of(F.col("image.origin")).alias("image"), F.col("image.origin").alias("source_image"), F.col("image.width").alias("width"), F.col("image.height").alias("height"), F.col("image").alias("image_data"))
+def read_images(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """image (the stem), source_image, width, height and the pixels as image_data; unreadable files go. pattern:
+    a part that the file's name must have."""
+    return images_or_fail(spark, path, pattern).where("error is null").drop("error")
+
+
+def images_or_fail(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """The same with error, and a row without pixels for each file that isn't readable."""
+    raw = spark.read.format("image").option("pathGlobFilter", "*.{png,jpg,jpeg,tiff,tif,PNG,JPG,JPEG,TIFF,TIF}").load(path)
+    origin = F.col("image.origin")
+    rows = raw.select(stem_of(origin).alias("image"), origin.alias("source_image"), F.col("image.width").alias("width"), F.col("image.height").alias("height"), F.col("image").alias("image_data"), F.when(F.col("image.nChannels") <= 0, "unreadable").alias("error"))
+    return rows.where(F.col("image").contains(pattern)) if pattern else rows
 
 
 def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -68,6 +77,45 @@ def pdf_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 _BOX = re.compile(rb"/MediaBox\s*\[\s*([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)\s*\]")
+_OBJECT = re.compile(rb"(\d+)\s+(\d+)\s+obj\b(.*?)\bendobj", re.S)
+_PACKED = re.compile(rb"<<((?:[^<>]|<<[^<>]*>>)*/Type\s*/ObjStm(?:[^<>]|<<[^<>]*>>)*)>>\s*stream\r?\n(.*?)endstream", re.S)
+
+
+def _objects(content: bytes) -> dict[int, bytes]:
+    """A PDF file's objects by number, those in compressed object streams too."""
+    out = {int(m[1]): m[3] for m in _OBJECT.finditer(content)}
+    for m in _PACKED.finditer(content):
+        first, n = (re.search(rb"/" + k + rb"\s+(\d+)", m[1]) for k in (b"First", b"N"))
+        try:
+            data = zlib.decompressobj().decompress(m[2]) if b"/FlateDecode" in m[1] else m[2]
+            heads = list(map(int, data[: int(first[1])].split()[: 2 * int(n[1])]))
+        except (zlib.error, ValueError, TypeError):
+            continue
+        at = [int(first[1]) + x for x in heads[1::2]]
+        out |= {k: data[a:b] for k, a, b in zip(heads[::2], at, [*at[1:], len(data)], strict=True)}
+    return out
+
+
+def page_boxes(content: bytes) -> list[list[float]]:
+    """The media box of each page, in the order of the page tree; a page without one has its parent's. Files
+    without a page tree give the first box they hold, if any."""
+    box = lambda body: [float(x) for x in m.groups()] if (m := _BOX.search(body)) else None
+    objects = _objects(content)
+    kids = {k: [int(x) for x in re.findall(rb"(\d+)\s+\d+\s+R", m[1])] for k, body in objects.items() if re.search(rb"/Type\s*/Pages\b", body) and (m := re.search(rb"/Kids\s*\[(.*?)\]", body, re.S))}
+    below, out, seen = {x for v in kids.values() for x in v}, [], set()
+    todo = [(k, None) for k in sorted(kids, reverse=True) if k not in below]
+    while todo:
+        k, inherited = todo.pop()
+        if k in seen or k not in objects:
+            continue
+        seen.add(k)
+        found = box(objects[k]) or inherited
+        if k in kids:
+            todo += [(x, found) for x in reversed(kids[k])]
+        elif found:
+            out.append(found)
+    loose = box(content)
+    return out or ([loose] if loose else [])
 
 
 def read_pdfs(spark: SparkSession, path: str) -> DataFrame:
@@ -77,11 +125,11 @@ def read_pdfs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def pdf_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """stem, pdf_path, pdf_w, pdf_h (points) from the first plain MediaBox of each PDF; null if there is none."""
+    """stem, pdf_path, pdf_w, pdf_h (points) of the first page of each PDF; null if they can't be read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            boxes = [[float(x) for x in m.groups()] if (m := _BOX.search(c)) else None for c in b.column(2).to_pylist()]
+            boxes = [(page_boxes(c) or [None])[0] for c in b.column(2).to_pylist()]
             sizes = [[None if x is None else x[k + 2] - x[k] for x in boxes] for k in range(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(s, pa.float64()) for s in sizes)], ["stem", "pdf_path", "pdf_w", "pdf_h"])
 
