@@ -36,9 +36,9 @@ class Scratch:
         found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return found, found.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
         """Writes df and reads it again."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").options(**(options or {})).parquet(self.path(name))
         if not self.names:
             root, files = self._at(self.root)
             files.deleteOnExit(root)
