@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from inkplane.llm import embeddings, graphs, line_dups, near_dups
+from inkplane.llm import _shared
 from inkplane.llm._shared import Scratch
 
 
@@ -206,6 +207,104 @@ def test_repeated_passages(spark):
     assert all(got[i].text == t for i, t in docs if not gone[i]) and sum(map(bool, gone.values())) > 40
 
 
+@pytest.mark.parametrize("n", [1, 7, 40])
+def test_repeated_places_over_many_tasks(spark, n):
+    """Keys that lie in several tasks: the first place of each is told, whatever the tasks' edges."""
+    rnd = random.Random(n)
+    rows = [(rnd.choice([0, 0, 0, rnd.randrange(20)]), rnd.randrange(3), rnd.randrange(60), 1, rnd.randrange(4)) for _ in range(900)]
+    first = {}
+    for k, j, *place in sorted(rows):
+        first.setdefault((k, j), tuple(place))
+    want = {r for r in rows if first[r[:2]] != r[2:]}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        frame = spark.createDataFrame(rows, "a long, b long, doc_id long, digest long, place int")
+        got = line_dups.later_places(frame, ["a", "b"], Scratch(spark, "t"), "later").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("n", [4, 23])
+def test_hot_passages_over_many_tasks(spark, n):
+    """Passages that many texts share, in texts that share more or less of what is around them."""
+    rnd = random.Random(n)
+    new = lambda k: [f"w{rnd.randrange(10**9)}" for _ in range(k)]
+    hot, bases, docs = new(60), [new(90) for _ in range(3)], []
+    for i in range(90):
+        base = list(rnd.choice(bases))
+        for _ in range(rnd.choice([0, 0, 1, 3])):
+            base[rnd.randrange(90)] = new(1)[0]
+        docs.append((i, " ".join(rnd.choice([new(rnd.randint(0, 30)) + hot + new(rnd.randint(0, 30)), base, base + hot, ["a", "b"] * 60]))))
+    gone = brute_passages(docs, 50)
+    repeated = brute_lines(docs, 1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        got = {r.doc_id: r.text for r in line_dups.deduplicate_lines(spark.createDataFrame([(i, f"start{i} {t}") for i, t in docs] + [(1000 + i, t) for i, t in docs], "doc_id long, text string")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    whole = brute_passages([(i, f"start{i} {t}") for i, t in docs] + [(1000 + i, t) for i, t in docs], 50)
+    assert {i: got[i].split() for i, _ in docs} == {i: [w for k, w in enumerate(f"start{i} {t}".split()) if k not in whole[i]] for i, t in docs}
+    assert all(got[1000 + i].split() == ([] if repeated[i] else [w for k, w in enumerate(t.split()) if k not in whole[1000 + i]]) for i, t in docs) and len(gone) > 30
+
+
+def test_passages_leave_words_round_deleted_lines():
+    def starts(text, lines, found, m):
+        return line_dups.passage_starts(text, lines, *np.array(found).T, m).tolist()
+
+    text = "a b c\nd e\nf g h i"
+    assert starts(text, set(), [(0, 2), (4, 1)], 3) == [0, 1, 4]
+    assert starts(text, {1}, [(0, 7)], 3) == [0, 3, 4] and starts(text, {0, 2}, [(0, 7)], 3) == [] and starts(text, {0}, [(3, 2)], 3) == [0, 1]
+
+
+def test_hashed_words():
+    texts = ["", " a  b\u3000c\x1cd\x85", "a", None or "", "x" * 3000 + " y", " ".join(f"w{i}" for i in range(5000))]
+    for size in (1 << 20, 40):
+        _shared.HASHED_CHARS, old = size, _shared.HASHED_CHARS
+        h, counts = _shared.hashed_words(texts, 2)
+        _shared.HASHED_CHARS = old
+        words = [w for t in texts for w in t.split()]
+        assert counts.tolist() == [len(t.split()) for t in texts] and h.shape == (2, len(words))
+        for x in h:
+            assert len(set(x.tolist())) == len(set(words)) == len(set(zip(words, x.tolist(), strict=True)))
+
+
+def test_least_places():
+    rng = np.random.default_rng(1)
+    for w in (1, 2, 3, 8, 35):
+        g = rng.integers(0, 9, 300).astype(np.uint64)
+        views = np.lib.stride_tricks.sliding_window_view(g, w)
+        assert (line_dups.least_places(g, w) == np.arange(len(views)) + w - 1 - views[:, ::-1].argmin(1)).all()
+
+
+def test_repeated_lines_on_the_table(spark, sf_dir):
+    """Each line but for its first place goes, and each word of a repeated passage in what is left of the lines."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    got = {r.doc_id: r.text for r in line_dups.deduplicate_lines(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
+    lines, runs, n = set(), set(), 0
+    for i, t in sorted(docs):
+        kept, words, at = [], [], 0
+        for x in (t or "").split("\n"):
+            if s := x.strip():
+                kept += [s not in lines] * len(s.split())
+                lines.add(s)
+                words += s.split()
+        cut = [False] * len(words)
+        for a in range(len(words) - 49):
+            run = tuple(words[a : a + 50])
+            if run in runs and all(kept[a : a + 50]):
+                cut[a : a + 50] = [True] * 50
+            runs.add(run)
+        left = [w for w, k, c in zip(words, kept, cut, strict=True) if k and not c]
+        assert (got[i] or "").split() == left
+        n += len(words) - len(left)
+    assert n > 500
+
+
 def test_without_passages():
     cut = line_dups.without_passages
     assert cut("a b c\nd  e f g", [1, 2], 2) == ("a e f g", 1) and cut(" a b c d", [0, 2], 2) == (" ", 1)
@@ -264,6 +363,42 @@ def test_vectors_odd_rows(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], schema)).count() == 0
 
 
+def brute_rows(data, t=0.98):
+    """n_links and component_id of each row, rows with one id being vectors of their own."""
+    n, label = [0] * len(data), list(range(len(data)))
+    for p, q in itertools.combinations(range(len(data)), 2):
+        (a, x, l), (b, y, m) = data[p], data[q]
+        if l == m and len(x) == len(y) and np.dot(x, y) / (np.linalg.norm(x) * np.linalg.norm(y)) >= t:
+            n[p], n[q] = n[p] + 1, n[q] + 1
+            low, high = sorted((label[p], label[q]))
+            label = [low if v == high else v for v in label]
+    least = {c: min(data[k][0] for k in range(len(data)) if label[k] == c) for c in set(label)}
+    return sorted((data[k][0], n[k], least[label[k]]) for k in range(len(data)))
+
+
+def test_vectors_with_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    e = rng.standard_normal((6, 32))
+    near = lambda k: [float(x) for x in e[k] + rng.normal(0, 0.01, 32)]
+    data = [(1, list(map(float, e[0])), 7), (1, list(map(float, e[1])), 7), (2, near(0), 7), (3, near(0), 7), (4, list(map(float, e[2])), 7), (4, near(2), 7), (4, list(map(float, e[2])), 7), (9, near(3), 7), (0, near(3), 7), (9, near(4), 7)]
+    got = embeddings.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").repartition(3)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute_rows(data)
+
+
+@pytest.mark.parametrize("odd", [range(3000, 3040), [0]])
+def test_vectors_of_several_lengths(spark, odd):
+    """Vectors of one label and length meet, also where rows of other lengths come first in the sample."""
+    rng = np.random.default_rng(6)
+    data = []
+    for dims in (48, 64, 16):
+        for _ in range(5):
+            base = rng.standard_normal(dims)
+            data += [(len(data) + 1, [float(x) for x in base + rng.normal(0, 0.01, dims)], 0) for _ in range(4)]
+    data += [(i, [1.0 + k], 0) for k, i in enumerate(odd)]
+    got = embeddings.near_vectors(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int").repartition(3), sample=30).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute_rows(data)
+
+
 def test_balanced_codes():
     x = np.random.default_rng(1).standard_normal((3000, 64)) * np.linspace(1, 3, 64)
     mean, projection = embeddings.learn_rotation(x)
