@@ -13,9 +13,12 @@ of each vector the number of its links in the two blocks and the smallest vector
 near copies by the thousand make no rows of pairs; the number of links asks for comparing them all
 (a group of n different near copies has n^2 links), in as many tasks as there are pairs of blocks.
 
-Defined cases: vectors that are null, zero, of another length than the first's, or hold nulls, NaN or
-infinities link with nothing, and so do those without label or vec_id; rows that repeat an id are one
-vector each, told apart by their values.
+Vectors of one label and length meet; each length has its own rotation, learned on its share of the sample
+(or drawn at random where the sample has too few of it).
+
+Defined cases: vectors that are null, empty, zero, or hold nulls, NaN or infinities link with nothing, and
+so do those without label or vec_id; rows that repeat an id are a vector each, with its own links, and equal
+vectors of one label are copies whatever their ids; empty tables give none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -75,47 +78,76 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+    """For each length of vectors: it, the rows that have it, and these vectors."""
+    lengths = pa.compute.list_value_length(column).to_numpy()
+    for n in np.unique(lengths):
+        rows = np.flatnonzero(lengths == n)
+        yield int(n), rows, column if len(rows) == len(column) else column.take(pa.array(rows))
+
+
+class Rotations(dict):
+    """(mean, projection) by length; a length that the sample lacks has random directions, the same everywhere."""
+
+    def __missing__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        return learn_rotation(np.zeros((0, n)))
+
+
+def learn_rotations(sample: pa.Array) -> Rotations:
+    out = Rotations()
+    for n, _, vectors in _by_length(sample):
+        x = _matrix(vectors)
+        out[n] = learn_rotation(x / np.sqrt((x * x).sum(1))[:, None])
+    return out
+
+
 def _chunk(table: int) -> Column:
     return F.shiftrightunsigned("code", table * CHUNK).bitwiseAND((1 << CHUNK) - 1)
 
 
+#: What vectors that meet have in common, and a bucket's key.
+GROUP = ["label", "dims"]
+BUCKET = [*GROUP, "t", "chunk"]
+
+
 def _entries(coded: DataFrame) -> DataFrame:
     """One row for each vector and table."""
     entry = [F.struct(F.lit(t).alias("t"), _chunk(t).alias("chunk")) for t in range(TABLES)]
-    return coded.select("class", "label", "code", F.explode(F.array(*entry)).alias("e")).select("class", "label", "code", "e.t", "e.chunk")
+    return coded.select("class", *GROUP, "code", F.explode(F.array(*entry)).alias("e")).select("class", *GROUP, "code", "e.t", "e.chunk")
 
 
 def _asked(entries: DataFrame, sizes: DataFrame) -> DataFrame:
     """Every vector's questions: own bucket, and the buckets one bit off, with both buckets' sizes."""
     flips = F.array(*(F.lit(x).cast("long") for x in [0, *(1 << k for k in range(CHUNK))]))
-    own = entries.join(sizes.withColumnRenamed("n", "n_own"), ["label", "t", "chunk"]).withColumn("flip", F.explode(flips))
-    asked = own.select("class", "code", "label", "t", F.col("chunk").alias("own"), F.col("chunk").bitwiseXOR(F.col("flip")).alias("chunk"), "n_own")
-    return asked.join(sizes, ["label", "t", "chunk"])
+    own = entries.join(sizes.withColumnRenamed("n", "n_own"), BUCKET).withColumn("flip", F.explode(flips))
+    asked = own.select("class", "code", *GROUP, "t", F.col("chunk").alias("own"), F.col("chunk").bitwiseXOR(F.col("flip")).alias("chunk"), "n_own")
+    return asked.join(sizes, BUCKET)
 
 
 def candidate_pairs(asked: DataFrame, entries: DataFrame) -> DataFrame:
     """(a, b) with a < b that meet in a table, from the questions and the held entries."""
-    asked = asked.select(F.col("class").alias("a"), F.col("code").alias("code_a"), "label", "t", "chunk")
-    held = entries.select(F.col("class").alias("b"), F.col("code").alias("code_b"), "label", "t", "chunk")
+    asked = asked.select(F.col("class").alias("a"), F.col("code").alias("code_a"), *BUCKET)
+    held = entries.select(F.col("class").alias("b"), F.col("code").alias("code_b"), *BUCKET)
     differ = F.col("code_a").bitwiseXOR(F.col("code_b"))
     near = [F.bit_count(F.shiftrightunsigned(differ, t * CHUNK).bitwiseAND((1 << CHUNK) - 1)) <= 1 for t in range(TABLES)]
     first = F.when(near[0], 0)
     for t in range(1, TABLES):
         first = first.when(near[t], t)
-    return asked.join(held, ["label", "t", "chunk"]).where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= FAR) & (first == F.col("t"))).select("a", "b")
+    return asked.join(held, BUCKET).where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= FAR) & (first == F.col("t"))).select("a", "b")
 
 
 def block_links(asked: DataFrame, entries: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
     """The links of full buckets, as sums: (class, others, root). Both buckets are cut into blocks of
     about BLOCK vectors; a task compares two blocks as matrices and gives, for each vector that links, the
     number of vectors it links with there and the smallest class it is joined with in the two blocks."""
-    key = ["label", "t", "own", "chunk", "block_a", "block_b"]
+    bucket = [*GROUP, "t", "own", "chunk"]
+    key = [*bucket, "block_a", "block_b"]
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     place = lambda n: F.pmod(F.xxhash64("class"), blocks(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    buckets = asked.select("label", "t", "own", "chunk", "n_own", "n").distinct()
-    left = asked.select("class", *key[:4], place("n_own").alias("block_a"), every("n").alias("block_b"), F.lit(True).alias("asks"))
-    right = entries.join(buckets, ["label", "t", "chunk"]).select("class", *key[:4], every("n_own").alias("block_a"), place("n").alias("block_b"), F.lit(False).alias("asks"))
+    buckets = asked.select(*bucket, "n_own", "n").distinct()
+    left = asked.select("class", *bucket, place("n_own").alias("block_a"), every("n").alias("block_b"), F.lit(True).alias("asks"))
+    right = entries.join(buckets, BUCKET).select("class", *bucket, every("n_own").alias("block_a"), place("n").alias("block_b"), F.lit(False).alias("asks"))
     both = left.unionByName(right).join(vectors.select("class", "code", "vector", "copies"), "class")
 
     def compare(table: pa.Table) -> pa.Table:
@@ -153,8 +185,10 @@ def cosine_links(pairs: DataFrame, vectors: DataFrame, threshold: float) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x, y = _matrix(b.column(2)), _matrix(b.column(3))
-                cosine = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
+                cosine = np.empty(b.num_rows)
+                for (_, rows, p), (_, _, q) in zip(_by_length(b.column(2)), _by_length(b.column(3)), strict=True):  # a pair has one length
+                    x, y = _matrix(p), _matrix(q)
+                    cosine[rows] = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
                 ok = pa.array(cosine >= threshold)
                 yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok), pa.array(cosine).filter(ok)], ["a", "b", "cosine"])
 
@@ -164,45 +198,47 @@ def cosine_links(pairs: DataFrame, vectors: DataFrame, threshold: float) -> Data
 def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of embeddings (vec_id, embedding, label)."""
     spark = embeddings.sparkSession
-    arrow_batches(spark, 4096)
+    arrow_batches(spark)
     scratch = Scratch(spark, "embeddings")
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("vector"))
-    good = rows.where(usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
-    fitted = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").toArrow().column(0).combine_chunks()  # bounded by sample
+    whole = usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    good = rows.where(whole)
+    fitted = good.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(sample).select("vector").toArrow().column(0).combine_chunks()  # bounded by sample
     if not len(fitted):
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dims = len(fitted[0])
-    fit = _matrix(fitted.filter(pa.compute.equal(pa.compute.list_value_length(fitted), dims)))
-    mean, projection = learn_rotation(fit / np.sqrt((fit * fit).sum(1))[:, None])
-    # a class is the copies of one vector under one label; its number is its smallest id, made unlike others' by rank where ids repeat
-    digest = F.xxhash64("label", "vector")
-    classes = good.where(F.size("vector") == dims).groupBy("label", "vector").agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("copies"))
+    rotations = learn_rotations(fitted)
+    # a class is the copies of one vector under one label, told by 128 bits; it gets a number, and keeps its smallest id
+    digest = [F.xxhash64("label", "vector").alias("d1"), F.xxhash64(F.lit(1), "label", "vector").alias("d2")]
+    classes = good.select("vec_id", "label", "vector", *digest).groupBy("d1", "d2").agg(F.first("label").alias("label"), F.first("vector").alias("vector"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                x = _matrix(b.column(2))
-                code = codes(x / np.sqrt((x * x).sum(1))[:, None], mean, projection)
+                code = np.empty(b.num_rows, np.int64)
+                for n, rows, vectors in _by_length(b.column(3)):
+                    x = _matrix(vectors)
+                    code[rows] = codes(x / np.sqrt((x * x).sum(1))[:, None], *rotations[n])
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code)], [*b.schema.names, "code"])
 
-    coded = classes.select("class", "label", "vector", "copies").mapInArrow(encode, "class long, label long, vector array<double>, copies long, code long")
-    coded = scratch.save(coded.withColumn("digest", digest), "coded")
+    coded = classes.select("d1", "d2", "label", "vector", "least", "copies").mapInArrow(encode, "d1 long, d2 long, label long, vector array<double>, least long, copies long, code long")
+    coded = scratch.save(coded.withColumns({"class": F.monotonically_increasing_id(), "dims": F.size("vector")}), "coded")
     entries = _entries(coded)
-    sizes = scratch.save(entries.groupBy("label", "t", "chunk").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sizes = scratch.save(entries.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("n")), "sizes")
     asked = scratch.save(_asked(entries, sizes), "asked")
     full = F.col("n") * F.col("n_own") > FULL
     links = scratch.save(cosine_links(candidate_pairs(asked.where(~full), entries), coded.select("class", "vector"), threshold).select("a", "b").distinct(), "links")
     sums = scratch.save(block_links(asked.where(full), entries, coded, threshold), "sums")
-    scratch.drop("asked")
-    ends = links.join(coded.select(F.col("class").alias("b"), F.col("copies").alias("n")), "b").select(F.col("a").alias("class"), "n").unionByName(links.join(coded.select(F.col("class").alias("a"), F.col("copies").alias("n")), "a").select(F.col("b").alias("class"), "n"))
-    linked = ends.unionByName(sums.select("class", F.col("others").alias("n"))).groupBy("class").agg(F.sum("n").alias("others"))
+    scratch.drop("asked", "sizes")
+    copies = coded.select(F.col("class").alias("other"), F.col("copies").alias("n"))
+    ends = links.select(F.col("a").alias("class"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("class"), F.col("a").alias("other")))
+    linked = ends.join(copies, "other").select("class", "n").unionByName(sums.select("class", F.col("others").alias("n"))).groupBy("class").agg(F.sum("n").alias("others"))
     links = links.unionByName(sums.select(F.col("root").alias("a"), F.col("class").alias("b")).distinct())
-    placed = components(links, scratch).withColumnRenamed("node", "class")
-    result = coded.select("class", "digest", "copies").join(linked, "class", "left").join(placed, "class", "left")
-    result = result.groupBy("digest").agg(F.max(F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.min(F.coalesce("component", "class")).alias("component_id"))
+    placed = scratch.save(components(links, scratch).withColumnRenamed("node", "class"), "placed")
+    least = placed.join(coded.select("class", "least"), "class").groupBy("component").agg(F.min("least").alias("component_id"))
+    result = coded.select("class", "d1", "d2", "least", "copies").join(linked, "class", "left").join(placed.join(least, "component").select("class", "component_id"), "class", "left")
+    result = result.select("d1", "d2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     result = scratch.save(result, "result")
     scratch.drop_all_but("result")
-    whole = usable(F.col("vector")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull() & (F.size("vector") == dims)
-    keyed = rows.select("vec_id", F.when(whole, digest).alias("digest"))
-    out = keyed.join(result, "digest", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    keyed = rows.select("vec_id", *(F.when(whole, d).alias(n) for d, n in zip(digest, ("d1", "d2"), strict=True)))
+    out = keyed.join(result, ["d1", "d2"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
