@@ -24,13 +24,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import Scratch, arrow_batches, free_name, text_or_empty
+from ._shared import Scratch, arrow_batches, free_name, hashes_of_words, mixed, text_or_empty, trimming
 from .graphs import components
 
 BANDS, BAND_VALUES = 40, 5
@@ -40,30 +38,26 @@ SKETCH = -(-VALUES // 64)  # 64-bit words of a sketch
 SURE = 5.4  # standard deviations
 FULL = 16_384  # pairs of strays and members; a centre with more is compared by blocks
 BLOCK = 256
+SLICE = 64  # texts hashed at once
 COLUMNS = 4096
+#: Bytes with A-Z lowered and ASCII white space as blanks.
+LOWER = np.frombuffer(bytes(32 if c in b"\t\n\v\f\r " else c + 32 if 65 <= c <= 90 else c for c in range(256)), np.uint8)
 _random = np.random.default_rng(20)
 FLIPS = _random.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2)
 FACTORS = _random.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
 BAND_FACTORS = _random.integers(0, 1 << 63, BAND_VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     """The sorted distinct shingles (64-bit hashes) of each text. Lowering and splitting UTF-8 bytes
     touches A-Z and ASCII white space only."""
-    split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    flat = np.empty(sum(map(len, split)), object)
-    flat[:] = [w for x in split for w in x]
-    codes, distinct = pd.factorize(flat)
-    hashed = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in distinct), np.uint64, len(distinct))[codes] if len(flat) else np.zeros(0, np.uint64)
-    out, at = [], 0
-    for x in split:
-        h = hashed[at : at + len(x)]
-        at += len(x)
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    codes = LOWER[np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)]
+    hashed, start = hashes_of_words(codes, codes == 32, 1)
+    ends = np.searchsorted(start, np.cumsum([0] + [len(t) + 1 for t in raw]))
+    out = []
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        h = hashed[0, a:b]
         if not len(h):
             out.append(np.zeros(0, np.uint64))
             continue
@@ -71,7 +65,7 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
         s = np.full(len(h) - k + 1, k, np.uint64)
         for j in range(k):
             s = s * np.uint64(0xD6E8FEB86659FD93) + h[j : len(h) - k + 1 + j]
-        out.append(np.unique(_mixed(s)))
+        out.append(np.unique(mixed(s)))
     return out
 
 
@@ -88,17 +82,17 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     for b in range(BANDS):
         key = np.full(len(sets), b + 1, np.uint64)
         for v, f in zip(values[b * BAND_VALUES : (b + 1) * BAND_VALUES], BAND_FACTORS, strict=True):
-            key = _mixed((key + v) * f)
+            key = mixed((key + v) * f)
         keys[:, b] = key
-    bits = np.packbits((_mixed(values) & np.uint64(1)).astype(np.uint8).T, axis=1)
+    bits = np.packbits((mixed(values) & np.uint64(1)).astype(np.uint8).T, axis=1)
     return keys, np.ascontiguousarray(np.pad(bits, ((0, 0), (0, 8 * SKETCH - bits.shape[1])))).view(np.int64)
 
 
 def _signatures(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 64):
-                b = whole.slice(at, 64)
+            for at in range(0, whole.num_rows, SLICE):
+                b = whole.slice(at, SLICE)
                 sets = shingle_sets(b.column(1).to_pylist(), words)
                 some = [s for s in sets if len(s)]
                 found = iter(zip(*signatures(some), strict=True)) if some else iter(())
@@ -113,8 +107,8 @@ def _signatures(words: int):
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 64):
-                b = whole.slice(at, 64)
+            for at in range(0, whole.num_rows, SLICE):
+                b = whole.slice(at, SLICE)
                 sets = [s.view(np.int64) for s in shingle_sets(b.column(1).to_pylist(), words)]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
@@ -251,7 +245,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     arrow_batches(spark)
     scratch = Scratch(spark, "near-dups")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    signed = scratch.save(texts.mapInArrow(_signatures(words), "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "signatures")
+    signed = scratch.save(texts.mapInArrow(trimming(_signatures(words)), "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"), "signatures")
     with_id = signed.where("doc_id is not null and n_shingles > 0")
     classes = scratch.save(with_id.groupBy("digest").agg(F.min("doc_id").alias("node")), "classes")
     members = with_id.join(classes, (with_id["digest"] == classes["digest"]) & (with_id["doc_id"] == classes["node"]), "left_semi")
@@ -262,7 +256,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # the sets are made anew from the texts, only for documents that share a bucket; texts move once, at any size
     wanted = shared.select(F.col("node").alias("doc_id")).distinct().hint("merge")
     chosen = texts.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
-    sets = scratch.save(chosen.mapInArrow(_sets(words), "node long, shingles array<long>"), "sets")
+    sets = scratch.save(chosen.mapInArrow(trimming(_sets(words)), "node long, shingles array<long>"), "sets")
     pairs = scratch.save(_pairs(shared, "centre"), "pairs")
     first = scratch.save(_compared(pairs, sets, percent), "first")
     again = scratch.save(_pairs(_with_hubs(shared, first, scratch), "hub"), "again")
