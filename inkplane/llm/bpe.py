@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import arrow_batches, text_or_empty
+from ._shared import arrow_batches, text_or_empty, trimming
 
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE, with white space by Unicode's property. Words come
 #: first, which changes nothing (contractions begin with an apostrophe) and is faster.
@@ -120,6 +120,10 @@ class PrefixBPE:
             else:
                 j -= 1
 
+    def forget(self) -> None:
+        """Lets go of the pairs that a task has looked up."""
+        self._fits.clear()
+
     def fits(self, left: int, right: int) -> bool:
         key = left << 20 | right
         if (known := self._fits.get(key)) is None:
@@ -184,9 +188,10 @@ def with_ids(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataFram
             ids = pa.array([bpe.encode(t or "", words) for t in b.column(at).to_pylist()], pa.list_(pa.int32()))
             more = [pa.array([bpe.decode(x) for x in ids.to_pylist()], pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays([*b.columns, ids, *more], [*b.schema.names, *names])
+        bpe.forget()
 
     kinds = [T.ArrayType(T.IntegerType()), T.StringType()]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds, strict=False))]))
+    return docs.mapInArrow(trimming(run), T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds, strict=False))]))
 
 
 def with_text(rows: DataFrame, tokenizer: str) -> DataFrame:
@@ -220,6 +225,7 @@ def id_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ids.append(hashlib.sha256(joined.encode()).hexdigest())
                 back.append(hashlib.sha256(b"".join([f[1] for f in found]).decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    return texts.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return texts.mapInArrow(trimming(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
