@@ -5,7 +5,13 @@ tree of all conversations, so one pass over a sorted partition writes each tree
 appears and needs to remember one path only. The walk is cut into packs of bounded size: a pack has
 the text of its nodes, and for each node its span in the pack, its parent, the position id of its
 first character (as in the conversation alone) and the ancestors' spans that it may attend to, plus
-the part of the span under the loss mask. A path that crosses a cut is written again in the next pack.
+the part of the span under the loss mask. A pack is one training sequence, so what its nodes attend to is
+in it: a path that crosses a cut is written again in the next pack, and once in each.
+
+With a tokenizer a pack has the token ids of its nodes too, each node's once, and every node its token
+span, the position id of its first token, the spans of tokens it attends to and those under the loss mask.
+A turn's head, text and end are encoded apart, so masks end where tokens do, and a node's tokens are the same
+in all conversations.
 
 Template: <|turn|>role, newline, text, <|end|>, newline. In texts and roles a backslash, < and [ are
 written as a backslash with \\, l or b (in roles a newline too, as n), so no control string of this or
@@ -13,8 +19,9 @@ of another common template can stand in them, and reading back is exact. The mas
 text of assistant turns. Lengths and positions count code points.
 
 Defined cases: null text or role is empty; turns that tie follow by role and text; repeated rows are
-turns of their own; rows without conv_id form one conversation with a null conv_id; equal
-conversations share all nodes and are told apart by their leaf entries.
+turns of their own; rows without conv_id are each a conversation of one turn, with a null conv_id; equal
+conversations share all nodes and are told apart by their leaf entries; an empty table has no packs; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import arrow_batches, text_or_empty
+from ._shared import Scratch, arrow_batches, text_or_empty
 
 TURN, END = "<|turn|>", "<|end|>\n"
 _WRITTEN = {"\\": "\\\\", "<": "\\l", "[": "\\b"}
@@ -60,8 +67,31 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(r), unescape(t)) for r, t in _TURN.findall(formatted)]
 
 
-NODE = "struct<start:int,end:int,parent:int,depth:int,position:long,loss_start:int,loss_end:int,attends:array<struct<start:int,end:int>>>"
-PACKS = f"formatted string, nodes array<{NODE}>, leaves array<struct<conv_id:long,node:int>>"
+SPAN = "struct<start:int,end:int>"
+TOKENS = f"token_start:int,token_end:int,token_position:long,token_loss_start:int,token_loss_end:int,token_attends:array<{SPAN}>"
+NODE = f"struct<start:int,end:int,parent:int,depth:int,position:long,loss_start:int,loss_end:int,attends:array<{SPAN}>,{TOKENS}>"
+PACKS = f"formatted string, tokens array<int>, nodes array<{NODE}>, leaves array<struct<conv_id:long,node:int>>"
+
+_ENCODERS: dict[str, object] = {}
+
+
+def _encoder(path: str | None):
+    """A function texts -> their token ids; one tokenizer for each worker process."""
+    if path is not None and path not in _ENCODERS:
+        from tokenizers import Tokenizer
+
+        model = Tokenizer.from_file(path)
+        model.no_truncation()
+        model.no_padding()
+        _ENCODERS[path] = lambda texts: [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
+    return _ENCODERS.get(path)
+
+
+def _joined(spans: list[dict], start: int, end: int) -> list[dict]:
+    """Spans and one more; such that touch are one interval."""
+    if spans and spans[-1]["end"] == start:
+        return [*spans[:-1], {"start": spans[-1]["start"], "end": end}]
+    return [*spans, {"start": start, "end": end}]
 
 
 class _Pack:
@@ -81,51 +111,67 @@ class _Pack:
         del self.path[same:]
         for turn in turns[same:]:
             text, a, b = write_turn(*turn)
-            above = [self.nodes[k] for _, k in self.path]
-            spans: list[dict] = []
-            for node in above:  # spans that touch are one interval
-                if spans and spans[-1]["end"] == node["start"]:
-                    spans[-1] = {"start": spans[-1]["start"], "end": node["end"]}
-                else:
-                    spans.append({"start": node["start"], "end": node["end"]})
-            position = above[-1]["position"] + above[-1]["end"] - above[-1]["start"] if above else 0
-            self.nodes.append({"start": self.size, "end": self.size + len(text), "parent": self.path[-1][1] if self.path else -1, "depth": len(above), "position": position, "loss_start": self.size + a, "loss_end": self.size + b, "attends": spans})
+            up = self.nodes[self.path[-1][1]] if self.path else None
+            spans = _joined(up["attends"], up["start"], up["end"]) if up else []
+            position = up["position"] + up["end"] - up["start"] if up else 0
+            self.nodes.append({"start": self.size, "end": self.size + len(text), "parent": self.path[-1][1] if self.path else -1, "depth": len(self.path), "position": position, "loss_start": self.size + a, "loss_end": self.size + b, "attends": spans})
             self.texts.append(text)
             self.size += len(text)
             self.path.append((turn, len(self.nodes) - 1))
         self.leaves.append({"conv_id": conv_id, "node": self.path[-1][1] if self.path else -1})
 
-    def row(self) -> dict:
-        return {"formatted": "".join(self.texts), "nodes": self.nodes, "leaves": self.leaves}
-
-
-def format_conversations(conversations: DataFrame) -> DataFrame:
-    """Packs (see PACKS) of all conversations, given conv_id, turn, role and text by row."""
+    def row(self, encode=None) -> dict:
+        formatted = "".join(self.texts)
+        return {"formatted": formatted, "tokens": self._tokens(formatted, encode) if encode else None, "nodes": self.nodes, "leaves": self.leaves}
+
+    def _tokens(self, formatted: str, encode) -> list[int]:
+        """The nodes' tokens in order; adds to nodes what tells of them."""
+        pieces = []
+        for n in self.nodes:
+            a = formatted.index("\n", n["start"]) + 1  # roles hold no newline
+            pieces += [formatted[n["start"] : a], formatted[a : n["end"] - len(END)], END]
+        ids, out = encode(pieces), []
+        for k, n in enumerate(self.nodes):
+            at, sizes = len(out), [len(x) for x in ids[3 * k : 3 * k + 3]]
+            for x in ids[3 * k : 3 * k + 3]:
+                out += x
+            up = self.nodes[n["parent"]] if n["parent"] >= 0 else None
+            lost = n["loss_end"] > n["loss_start"]
+            n |= {"token_start": at, "token_end": len(out), "token_position": up["token_position"] + up["token_end"] - up["token_start"] if up else 0, "token_loss_start": at + sizes[0], "token_loss_end": at + sizes[0] + (sizes[1] if lost else 0), "token_attends": _joined(up["token_attends"], up["token_start"], up["token_end"]) if up else []}
+        return out
+
+
+def format_conversations(conversations: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """Packs (see PACKS) of all conversations, given conv_id, turn, role and text by row; with tokens if there is
+    a tokenizer's file."""
     spark = conversations.sparkSession
-    arrow_batches(spark, 64)
+    arrow_batches(spark)
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), text_or_empty().alias("text"))
-    whole = conversations.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("t"))
+    whole = rows.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    whole = whole.unionByName(rows.where("conv_id is null").select("conv_id", F.array("t").alias("turns")))
     # a step of the path is a digest of a turn; two turns with one digest still make two nodes, since nodes compare turns
     steps = F.transform("turns", lambda t: F.xxhash64(t["role"], t["text"]))
     whole = whole.withColumn("path", steps).repartitionByRange(F.col("path"), F.col("conv_id")).sortWithinPartitions("path", "conv_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("formatted", pa.string()), ("nodes", _NODES), ("leaves", _LEAVES)])
-        pack = _Pack()
+        schema = pa.schema([("formatted", pa.string()), ("tokens", pa.list_(pa.int32())), ("nodes", _NODES), ("leaves", _LEAVES)])
+        pack, encode = _Pack(), _encoder(tokenizer)
         for b in batches:
             for conv_id, turns in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 pack.add(conv_id, [(t["role"], t["text"]) for t in turns])
                 if pack.full():
-                    yield pa.RecordBatch.from_pylist([pack.row()], schema)
+                    yield pa.RecordBatch.from_pylist([pack.row(encode)], schema)
                     pack = _Pack()
         if pack.leaves:
-            yield pa.RecordBatch.from_pylist([pack.row()], schema)
+            yield pa.RecordBatch.from_pylist([pack.row(encode)], schema)
 
     return whole.select("conv_id", "turns").mapInArrow(run, PACKS)
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-_NODES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()), ("position", pa.int64()), ("loss_start", pa.int32()), ("loss_end", pa.int32()), ("attends", pa.list_(_SPAN))]))
+_OF_TOKENS = [("token_start", pa.int32()), ("token_end", pa.int32()), ("token_position", pa.int64()), ("token_loss_start", pa.int32()), ("token_loss_end", pa.int32()), ("token_attends", pa.list_(_SPAN))]
+_NODES = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()), ("position", pa.int64()), ("loss_start", pa.int32()), ("loss_end", pa.int32()), ("attends", pa.list_(_SPAN)), *_OF_TOKENS]))
 _LEAVES = pa.list_(pa.struct([("conv_id", pa.int64()), ("node", pa.int32())]))
 
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -139,7 +185,8 @@ def read_packs(packs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for pack in b.to_pylist():
+            for k in range(b.num_rows):
+                pack = b.slice(k, 1).to_pylist()[0]  # one at a time
                 text, nodes = pack["formatted"], pack["nodes"]
                 for leaf in pack["leaves"]:
                     path, k = [], leaf["node"]
@@ -154,11 +201,13 @@ def read_packs(packs: DataFrame) -> DataFrame:
                     rows.append((leaf["conv_id"], len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(seen)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names)
 
-    return packs.mapInArrow(run, DIGEST)
+    return packs.select("formatted", "nodes", "leaves").mapInArrow(run, DIGEST)
 
 
-def chat_digest(conversations: DataFrame) -> DataFrame:
-    return read_packs(format_conversations(conversations))
+def chat_digest(conversations: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """The digest of every conversation, read back from the packs; these are written, tokens and all."""
+    packs = Scratch(conversations.sparkSession, "chat").save(format_conversations(conversations, tokenizer), "packs")
+    return read_packs(packs)
 
 
 def digest_of(rows: list[tuple[int, str, str]]) -> tuple[int, str, int, str]:

@@ -8,11 +8,13 @@ documents lie in a seeded order on a line of words; the line is cut into blocks,
 quota div blocks times, and those that come first in a seeded order (an affine permutation of the
 block numbers) once more. A document's share is the overlap of its words with the blocks taken.
 
-Nothing unbounded meets in one task: a source is spread over shards of SHARD_WORDS words, and only
-sums by source and by shard are compared with each other.
+A source is spread over shards of SHARD_WORDS words by a seeded digest of id and text, so rows without an
+id, or with one id, are spread too. What meets in one task is a shard, and one row of sums for each source
+(sources are weighed against each other) or for each shard of a source.
 
 Defined cases: null and empty texts have size 0 and nothing is taken; null is a source of its own,
-the last; documents that tie in the seeded order follow by size; without words all targets are 0.
+the last; rows that tie in the seeded order are equal in id and text, so reruns agree; without words all
+targets are 0; an empty table has no mix; other columns of docs are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -41,6 +43,15 @@ def seeded(text: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), text))
 
 
+def place_key(doc_id: Column, digest: Column, seed: int = SEED) -> Column:
+    """A document's place in the seeded order, by its id and the digest of its text."""
+    return seeded(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), digest), seed)
+
+
+def text_digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def hex_number(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
@@ -84,10 +95,10 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """All columns of docs (it needs doc_id, source and size) and source_size, target, taken; and what
+    """All columns of docs (it needs doc_id, digest, source and size) and source_size, target, taken; and what
     tells which words are taken: start (the document's place on its shard's line), blocks, rounds and
     extra (its shard's blocks, how often all are taken, and how many are taken once more), turn."""
-    keyed = docs.withColumn("_key", seeded(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), seed))
+    keyed = docs.withColumn("_key", place_key(F.col("doc_id"), F.col("digest"), seed))
     sources = source_targets(docs.select("source", "size"))
     shards_of = F.least(F.lit(MAX_SHARDS), F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS))).cast("long")
     named = sources.select(F.col("source").alias("_source"), "source_no", "source_size", "target", F.col("quota").alias("_blocks"))
@@ -99,7 +110,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     parts = parts.withColumn("blocks", blocks).withColumn("quota", F.least("quota", F.col("blocks") * EPOCHS))
     turn = hex_number(seeded(F.concat_ws(":", F.lit("turn"), "source_no", "shard"), seed))
     parts = parts.select("source_no", "shard", "blocks", F.when(F.col("blocks") > 0, F.expr("quota div blocks")).otherwise(0).alias("rounds"), F.when(F.col("blocks") > 0, F.col("quota") % F.col("blocks")).otherwise(0).alias("extra"), turn.alias("turn"))
-    line = Window.partitionBy("source_no", "shard").orderBy("_key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    line = Window.partitionBy("source_no", "shard").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
     placed = keyed.withColumn("start", F.coalesce(F.sum("size").over(line), F.lit(0)))
     placed = placed.join(parts, ["source_no", "shard"], "left")
     return placed.withColumn("taken", F.when(F.col("size") > 0, F.col("size") * F.col("rounds") + extra_words()).otherwise(0)).drop("_key", "_source", "_blocks", "source_no", "shard")
@@ -133,15 +144,18 @@ def extra_words() -> Column:
 
 def mix_shares(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken of each document."""
-    sizes = Scratch(docs.sparkSession, "mixing").save(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size")), "sizes")
-    return mix(sizes).select("doc_id", "size", "source_size", "target", "taken")
+    scratch = Scratch(docs.sparkSession, "mixing")
+    sizes = scratch.save(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), text_digest(F.col("text")).alias("digest")), "sizes")
+    out = scratch.save(mix(sizes).select("doc_id", "size", "source_size", "target", "taken"), "shares")
+    scratch.drop("sizes")
+    return out
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: each is there once for every round in which any of its words are taken,
     with the words of that round (white space after a word goes with it). Columns as in docs."""
     columns = docs.columns
-    rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), text_digest(F.col("text")).alias("digest"))
     mixed = mix(rows).where("taken > 0")
     words = F.regexp_extract_all(F.col("row.text"), F.lit(r"[\x20\x09-\x0D]*" + WORD + r"(?:[\x20\x09-\x0D]+(?![^\x20\x09-\x0D]))?"), F.lit(0))
 
@@ -162,7 +176,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 SHARES_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM s0),
 s2 AS (SELECT *, [3.0, 1.0, 2.0][(no % 3 + 1)::INT]::DOUBLE AS weight, {EPOCHS}::DOUBLE * source_size AS stop,
@@ -184,7 +198,7 @@ r2 AS (SELECT no, shard, count(*) AS quota FROM (SELECT *, row_number() OVER (PA
 p1 AS (SELECT p0.*, ceil(shard_size / {BLOCK_WORDS}.0)::BIGINT AS blocks, coalesce(r2.quota, 0) AS q FROM p0 LEFT JOIN r2 USING (no, shard)),
 p AS (SELECT *, least(q, {EPOCHS} * blocks) AS quota, ('0x' || md5('{SEED}:turn:' || no || ':' || shard)[1:8])::BIGINT AS turn FROM p1),
 f AS (SELECT e.doc_id, e.size, e.source_size, e.target, p.blocks, p.quota, p.turn,
-      coalesce(sum(e.size) OVER (PARTITION BY e.no, e.shard ORDER BY e.k, e.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+      coalesce(sum(e.size) OVER (PARTITION BY e.no, e.shard ORDER BY e.k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
       FROM e JOIN p USING (no, shard))
 SELECT doc_id, size, source_size, target::DOUBLE AS target,
   CASE WHEN size = 0 THEN 0 ELSE size * (quota // blocks) + coalesce(list_sum(list_transform(range(start // {BLOCK_WORDS}, (start + size - 1) // {BLOCK_WORDS} + 1),

@@ -38,9 +38,8 @@ def documents(seed, n=400):
 
 
 def check_sql(spark, docs):
-    pdf = docs.toPandas()
     con = duckdb.connect()
-    con.register("documents", pdf)
+    con.register("documents", docs.toArrow())  # pandas would make ids with nulls floats
     want = con.execute(mixing.SHARES_SQL).df()
     got = mixing.mix_shares(docs).toPandas()
     order = sorted(want.columns)
@@ -83,6 +82,18 @@ def test_mixing_odd_rows(spark):
     assert [tuple(r) for r in mixing.mix_shares(blank).collect()] == [(1, 0, 0, 0.0, 0)]
 
 
+def test_mixing_spreads_rows_without_id(spark):
+    rows = [(None, f"a b c w{k}", "hot", 0) for k in range(40_000)] + [(7, f"d e w{k}", "hot", 0) for k in range(5000)] + [(7, "x y", "b", 0)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    got = check_sql(spark, docs)
+    assert abs(got.taken.sum() / got["size"].sum() - 1.5) < 0.02
+    sizes = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"), mixing.text_digest(F.col("text")).alias("digest"))
+    shards = mixing.mix(sizes.drop("start")).where("doc_id is null").select("blocks", "extra", "turn").distinct().count()
+    assert shards >= 2
+    one, two = (sorted(map(tuple, mixing.mixed_documents(docs.repartition(n)).collect()), key=repr) for n in (3, 8))
+    assert one == two
+
+
 def test_mixing_is_native(spark, sf_dir):
     plan = queries.op4_mixing(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
@@ -139,6 +150,35 @@ def test_chat(spark):
     assert chat.chat_digest(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+def test_chat_tokens(spark):
+    """Each node's tokens stand once; along a leaf's path they decode to the conversation, and masks to its loss."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    tokenizer, rows = Tokenizer.from_file(path), conversations(2)
+    packs = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), path).collect()
+    seen = 0
+    for p in packs:
+        spans = sorted((n.token_start, n.token_end) for n in p.nodes)
+        assert [a for a, _ in spans] == [0, *(b for _, b in spans)][:-1] and spans[-1][1] == len(p.tokens)
+        decode = lambda a, b: tokenizer.decode(p.tokens[a:b], skip_special_tokens=False)
+        for n in p.nodes:
+            assert decode(n.token_start, n.token_end) == p.formatted[n.start : n.end]
+            assert decode(n.token_loss_start, n.token_loss_end) == p.formatted[n.loss_start : n.loss_end]
+            assert sum(s.end - s.start for s in n.token_attends) == n.token_position
+            assert "".join(decode(s.start, s.end) for s in n.token_attends) == "".join(p.formatted[s.start : s.end] for s in n.attends)
+            seen += 1
+    assert seen > 400
+
+
+def test_chat_rows_without_conversation(spark):
+    rows = [(None, k % 7, "user", "same" if k % 2 else f"t{k}") for k in range(3000)] + [(1, 0, "user", "same"), (1, 1, None, None)]
+    got = chat.chat_digest(spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, leaves int").repartition(4)).collect()
+    assert sum(r.conv_id is None for r in got) == 3000 and all(r.n_turns == 1 for r in got if r.conv_id is None)
+    one = next(r for r in got if r.conv_id == 1)
+    assert tuple(one)[1:5] == chat.digest_of([r[1:] for r in rows[-2:]])
+
+
 def test_chat_query_adds_a_conversation(spark, sf_dir):
     got = {r.conv_id: r for r in queries.op10_chat(spark, sf_dir).collect()}
     said = "</s>[INST] ok [/INST]"

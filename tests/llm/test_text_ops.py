@@ -126,6 +126,91 @@ def test_clips_follow_cuts(spark):
     assert [r.n_frames for r in media.clip_rows(rows_).orderBy("clip").collect()] == [12, 9, 7]
 
 
+def avi(frames, width, height):
+    """An AVI file by the format's description, with frames of any writer; places in the index count from the file's start."""
+    import struct
+
+    chunk = lambda name, body: name + struct.pack("<I", len(body)) + body + b"\0" * (len(body) % 2)
+    strh = struct.pack("<4s4sIHHIIIIIIIIHHHH", b"vids", b"MJPG", 0, 0, 0, 0, 2, 20, 0, len(frames), 0, 0, 0, 0, 0, width, height)
+    hdrl = chunk(b"LIST", b"hdrl" + chunk(b"avih", bytes(56)) + chunk(b"LIST", b"strl" + chunk(b"strh", strh)))
+    movi, index = b"", b""
+    for f in frames:
+        index += struct.pack("<4sIII", b"00dc", 16, 12 + len(hdrl) + 12 + len(movi), len(f))
+        movi += chunk(b"00dc", f)
+    body = b"AVI " + hdrl + chunk(b"LIST", b"movi" + movi) + chunk(b"idx1", index)
+    return b"RIFF" + struct.pack("<I", len(body)) + body
+
+
+def java_jpeg(spark, pixels, grey):
+    """A baseline JPEG file of the JVM's writer, and what its reader makes of it."""
+    jvm = spark._jvm
+    h, w = pixels.shape[:2]
+    kind = 10 if grey else 5  # TYPE_BYTE_GRAY, TYPE_3BYTE_BGR
+    image = jvm.java.awt.image.BufferedImage(w, h, kind)
+    raster = image.getRaster()
+    for y in range(h):
+        for x in range(w):
+            for c in range(1 if grey else 3):
+                raster.setSample(x, y, c, int(pixels[y, x] if grey else pixels[y, x, c]))
+    out = jvm.java.io.ByteArrayOutputStream()
+    jvm.javax.imageio.ImageIO.write(image, "jpg", out)
+    data = bytes(out.toByteArray())
+    back = jvm.javax.imageio.ImageIO.read(jvm.java.io.ByteArrayInputStream(data)).getRaster()
+    return data, np.array([[[back.getSample(x, y, c) for c in range(1 if grey else 3)] for x in range(w)] for y in range(h)])
+
+
+def test_frames_of_other_writers(spark):
+    rng = np.random.default_rng(4)
+    smooth = (np.add.outer(np.arange(21) * 5, np.arange(38) * 3) + rng.integers(0, 20, (21, 38))).clip(0, 255)
+    data, back = java_jpeg(spark, smooth, True)
+    assert data[:2] == b"\xff\xd8" and np.abs(media.decode_frame(data).astype(int) - back[:, :, 0]).max() <= 2
+    colour = np.stack([smooth, smooth[::-1], 255 - smooth], 2)
+    data, back = java_jpeg(spark, colour, False)
+    luma = back @ [0.299, 0.587, 0.114]
+    assert np.abs(media.decode_frame(data).astype(int) - luma).mean() < 2
+    dark, _ = java_jpeg(spark, np.zeros((16, 16), int), True)
+    light, _ = java_jpeg(spark, np.full((16, 16), 240), True)
+    file = avi([dark] * 12 + [light] * 9, 16, 16)
+    without = avi([strip_tables(x) for x in [dark] * 12 + [light] * 9], 16, 16)
+    rows_ = spark.createDataFrame([(1, 0, bytearray(file)), (2, 0, bytearray(without)), (3, 0, None), (None, 0, bytearray(file[:-300])), (4, 0, bytearray(b"junk")), (4, 0, bytearray(b"junk"))], media.STORED)
+    clips = media.clip_rows(rows_).collect()
+    for i in (1, 2):
+        got = [(r.first_frame, r.n_frames, r.start_s, round(r.mean_level)) for r in sorted((r for r in clips if r.doc_id == i), key=lambda r: r.clip)]
+        assert got == [(0, 12, 0.0, 0), (12, 9, 1.2, 240)]
+    assert sum(r.error is not None for r in clips) == 4 and sum(r.error is not None for r in media.media_digest(rows_).collect()) == 4
+
+
+def strip_tables(jpeg):
+    """The frame without its Huffman tables, which are the standard's."""
+    import struct
+
+    at, out = 2, jpeg[:2]
+    while True:
+        kind, size = jpeg[at + 1], struct.unpack_from(">H", jpeg, at + 2)[0]
+        out += b"" if kind == 0xC4 else jpeg[at : at + 2 + size]
+        at += 2 + size
+        if kind == 0xDA:
+            return out + jpeg[at:]
+
+
+def test_lossless_frames_with_other_tables():
+    """A frame of 5 x 6 samples, predictor 4, whose table gives category s the code of s ones and a zero."""
+    import struct
+
+    x = np.random.default_rng(8).integers(0, 256, (5, 6)).astype(int)
+    bits = ""
+    for y in range(5):
+        for k in range(6):
+            guess = 128 if not y and not k else x[y, k - 1] if not y else x[y - 1, k] if not k else x[y, k - 1] + x[y - 1, k] - x[y - 1, k - 1]
+            d = int(x[y, k] - guess)
+            s = abs(d).bit_length()
+            bits += "1" * s + "0" + (f"{d if d > 0 else d + (1 << s) - 1:0{s}b}" if s else "")
+    raw = int(bits + "1" * (-len(bits) % 8), 2).to_bytes(-(-len(bits) // 8), "big").replace(b"\xff", b"\xff\0")
+    seg = lambda kind, body: struct.pack(">BBH", 255, kind, len(body) + 2) + body
+    jpeg = b"\xff\xd8" + seg(0xC4, b"\0" + bytes([1] * 11 + [0] * 5) + bytes(range(11))) + seg(0xC3, struct.pack(">BHHB3B", 8, 5, 6, 1, 1, 0x11, 0)) + seg(0xDA, b"\1\1\0\4\0\0") + raw + b"\xff\xd9"
+    assert (media.decode_frame(jpeg) == x).all()
+
+
 @pytest.mark.parametrize("data", [b"", b"RIFF0000WAVE", b"RIFF0000AVI "])
 def test_other_files_are_refused(data):
     with pytest.raises(ValueError):
