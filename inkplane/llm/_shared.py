@@ -30,6 +30,13 @@ def arrow_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def trim() -> None:
+    """Gives memory that this process holds but doesn't use back to the system."""
+    pa.default_memory_pool().release_unused()
+    if (libc := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        libc(0)
+
+
 def trimming(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """run, for mapInArrow; when it ends, memory that the worker process holds but doesn't use goes back to the
     system. Workers live on for later tasks and stages, next to an executor's heap."""
@@ -38,9 +45,7 @@ def trimming(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterat
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
-                trim(0)
+            trim()
 
     return whole
 

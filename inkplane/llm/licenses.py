@@ -5,9 +5,12 @@ stands; that gives their inverse document frequency (a table as long as the temp
 The second looks up each file's highest-IDF licence words, template by template, in the index from words
 to positions, intersects their postings by relative position (place in the file less place in the
 template), and accepts a template where enough of its words agree and every one of its mandatory key
-phrases stands in the file. Base phrases are places of consecutive words and always count.
+phrases stands in the file. Base phrases are places of consecutive words and always count. A template's share is
+the largest, over the shifts at which half of those words or more agree, of its words' weight that stands there.
 
-Defined cases: null and empty texts have no words and no labels; repeated rows are scanned each.
+Defined cases: null and empty texts have no words and no labels; rows that repeat, or have no id, are scanned
+each; long texts are scanned whole; of equal IDF the word that sorts first is looked up; an empty table gives
+none; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import arrow_batches, text_or_empty
+from ._shared import arrow_batches, text_or_empty, trimming
+from .notices import NOTICES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Only A-Z are lowered; other letters stay.
@@ -40,7 +44,7 @@ class Template:
     keys: tuple[str, ...]
 
 
-#: Short public licence notices and the phrases that tell them apart.
+#: One-sentence notices and the phrases that tell them apart; then the whole public notices.
 TEMPLATES = (
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0", ("apache license version 2 0",)),
     Template("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License", ("creative commons attribution 4 0",)),
@@ -56,6 +60,7 @@ TEMPLATES = (
     Template("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", ("permission to use copy modify",)),
     Template("unlicense", "This is free and unencumbered software released into the public domain", ("unencumbered software released into the public domain",)),
     Template("all-rights-reserved", "Copyright All rights reserved", ("all rights reserved",)),
+    *(Template(*x) for x in NOTICES),
 )
 
 
@@ -78,6 +83,7 @@ class Index:
         self.places = [words(t.text) for t in self.templates]
         self.keys = [[words(k) for k in t.keys] for t in self.templates]
         self.weights = [[weight(w) for w in ws] for ws in self.places]
+        self.totals = [sum(x) for x in self.weights]
         self.postings: list[dict[str, list[int]]] = [defaultdict(list) for _ in self.templates]
         for k, ws in enumerate(self.places):
             for p, w in enumerate(ws):
@@ -111,12 +117,11 @@ class Index:
             best = max(best, 0.5)
         return len(starts), min(starts, default=None), max(starts, default=None), sorted(base), sorted(labels), min(1.0, best)
 
-
     def _agreement(self, k: int, at: dict[int, str], by_word: dict[str, list[int]]) -> float:
         """The largest share of template k's words, by weight, that stand at one shift of its places."""
-        postings, weights = self.postings[k], self.weights[k]
+        postings, weights, total = self.postings[k], self.weights[k], self.totals[k]
         have = postings.keys() & by_word.keys()
-        if sum(weights[p] for w in have for p in postings[w]) < self.agree * sum(weights):
+        if sum(weights[p] for w in have for p in postings[w]) < self.agree * total:
             return 0.0  # too few of its words stand anywhere
         rarest = sorted(have, key=lambda w: (-self.idf.get(w, 0.0), w))[: self.rare]
         votes: dict[int, set[str]] = defaultdict(set)
@@ -125,7 +130,7 @@ class Index:
                 for i in by_word[w]:
                     votes[i - p].add(w)
         shifts = [s for s, ws in votes.items() if 2 * len(ws) >= len(rarest)]
-        return max((sum(x for p, (w, x) in enumerate(zip(self.places[k], weights, strict=True)) if at.get(s + p) == w) / sum(weights) for s in shifts), default=0.0)
+        return max((sum(x for p, (w, x) in enumerate(zip(self.places[k], weights, strict=True)) if at.get(s + p) == w) / total for s in shifts), default=0.0)
 
 
 def licence_idf(docs: DataFrame, vocabulary: set[str]) -> dict[str, float]:
@@ -166,4 +171,4 @@ def scan_licenses(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES)
             kinds = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], [x.split()[0] for x in SCANNED.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, SCANNED)
+    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(trimming(run), SCANNED)

@@ -3,14 +3,17 @@
 import hashlib
 import os
 import random
+import re
 
 import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from inkplane.llm import chat, mixing, near_dups, queries, toxicity
+from inkplane.llm import chat, line_dups, mixing, queries, toxicity
+from tests.llm.test_dedup_ops import brute
 
 # Mixing.
 
@@ -189,10 +192,73 @@ def test_chat_query_adds_a_conversation(spark, sf_dir):
 # Pipeline.
 
 
+def lines_left(docs):
+    """Documents without later copies of lines, and without words of runs of 50 that stand earlier and hold no
+    word of such lines; those that lost something and have nothing left go."""
+    lines, runs, out = set(), set(), []
+    for r in sorted(docs.collect(), key=lambda r: r.doc_id):
+        gone, words, of = set(), [], []
+        for k, x in enumerate(s for x in (r.text or "").split("\n") if (s := x.strip())):
+            gone |= {k} if x in lines else set()
+            lines.add(x)
+            words += x.split()
+            of += [k] * len(x.split())
+        starts = []
+        for a in range(len(words) - 49):
+            run = tuple(words[a : a + 50])
+            if run in runs and not gone & set(of[a : a + 50]):
+                starts.append(a - sum(x in gone for x in of[:a]))
+            runs.add(run)
+        text = line_dups.without_lines(r.text, gone) if gone else r.text
+        text = line_dups.without_passages(text, starts, 50)[0] if starts else text
+        if text == r.text or text.strip():
+            out.append((r.doc_id, text))
+    return sorted(out)
+
+
+def assert_mixed(before, after):
+    """The mix has the words that the SQL takes of each document, in whole texts and parts of them in order."""
+    con = duckdb.connect()
+    con.register("documents", before.toArrow())
+    taken = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, taken FROM ({mixing.SHARES_SQL}) WHERE taken > 0").fetchall()}
+    texts, got = {r.doc_id: r.text for r in before.collect()}, {}
+    for r in after.collect():
+        words, whole = r.text.split(), iter(texts[r.doc_id].split())
+        assert all(w in whole for w in words)  # a subsequence
+        got[r.doc_id] = got.get(r.doc_id, 0) + len(mixing_words(r.text))
+    assert got == taken
+
+
+def mixing_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+ODD_DOCS = [
+    (1, None, "en", "a", 0, "x"), (2, "", "en", None, 0, "x"), (3, "one line\nanother line here", "en", "a", 27, "x"), (3, "one line\nanother line here", "en", "a", 27, "x"), (4, "one line\nanother line here", "de", "b", 27, "y"),
+    (None, "no id at all\nbut words", None, "b", 24, None), (None, "no id at all\nbut words", None, "b", 24, None), (5, "word " * 30000, "fr", "a", 150000, "x"), (6, "tiny", "en", None, 4, "x"), (7, " ".join(f"w{k}" for k in range(60)), "en", "a", 0, "x"),
+]
+
+
+def test_stages_with_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, clashing columns, and an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _digest string, place int, node int, token_ids string"
+    folder = tmp_path / "in"
+    spark.createDataFrame([(*r, 1, 2, "z") for r in ODD_DOCS], schema).write.parquet(str(folder / "documents.parquet"))
+    spark.createDataFrame([(1, 0, 1), (3, 0, 0), (7, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(folder))
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "_digest", "place", "node", "token_ids", "decoded"]
+    rows = got.collect()
+    assert all(r.decoded == r.text and r.n_chars == len(r.text) for r in rows) and len([r for r in rows if r.doc_id in (1, 2)]) == 0
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none/documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "none/labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_stages(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "MinHash near-dedup", "mixing sources to target weights", "BPE encoding and decoding"]
     kept, columns = docs, docs.columns
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path("byte_bpe_50k.json"))
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         before = kept
         stage(spark, kept, sf_dir).write.parquet(str(tmp_path / str(k)))
@@ -202,14 +268,33 @@ def test_stages(spark, sf_dir, tmp_path):
         if k == 0:
             scores = toxicity.toxicity(before, spark.read.parquet(f"{sf_dir}/labels.parquet"))
             assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in scores.where("predicted = 0").collect()}
+        if k == 1:
+            assert sorted((r.doc_id, r.text) for r in kept.collect()) == lines_left(before)
         if k == 2:
-            want = near_dups.near_duplicates(before, 5).where("kept").select("doc_id")
-            assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in want.collect()}
+            texts = [(r.doc_id, r.text) for r in before.collect()]
+            _, component = brute(texts, 5)
+            assert {(r.doc_id, r.text) for r in kept.collect()} == {(i, t) for i, t in texts if component[i] == i}
+        if k == 3:
+            assert_mixed(before, kept)
+        if k == 4:
+            assert all(r.token_ids == tokenizer.encode(r.text, add_special_tokens=False).ids for r in kept.collect())
     assert "token_ids" in kept.columns and kept.where("size(token_ids) = 0 and text <> ''").count() == 0
     assert kept.where(~F.col("text").eqNullSafe(F.col("decoded"))).count() == 0
     assert sorted(map(repr, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(repr, kept.collect()))
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql_agrees(spark, sf_dir, name):
+    con = duckdb.connect()
+    for f in os.listdir(sf_dir):
+        con.execute(f"create view {f.removesuffix('.parquet')} as select * from '{sf_dir}/{f}'")
+    want, got = con.execute(queries.oracle_sql()[name]).df(), queries.queries()[name](spark, sf_dir).toPandas()
+    columns = sorted(want.columns)
+    assert columns == sorted(got.columns)
+    one, two = (df[columns].sort_values(columns).reset_index(drop=True) for df in (want, got))
+    pd.testing.assert_frame_equal(one, two, check_dtype=False, check_exact=True)
+
+
 def test_all_queries_are_there():
     names = {n.split("_")[0] for n in queries.queries()}
     assert names == {f"op{n}" for n in range(1, 11)} | {"pipeline"}

@@ -56,6 +56,78 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(abs(again[i] - got[i].score) < 1e-9 for i in got)
 
 
+class PlainKneserNey:
+    """Interpolated Kneser-Ney over characters with dictionaries, from the definition: counts at the top, below it
+    the numbers of different left neighbours; classes keep own counts from OWN_ORDER on and share what is below."""
+
+    def __init__(self, rows):
+        self.top = {c: {} for c in (0, 1)}
+        for text, c in rows:
+            for w in text.lower().split():
+                s = chr(toxicity.START) * (toxicity.ORDER - 1) + w + " "
+                for k in range(toxicity.ORDER - 1, len(s)):
+                    g = s[k - toxicity.ORDER + 1 : k + 1]
+                    self.top[c][g] = self.top[c].get(g, 0) + 1
+        both = dict(self.top[0])
+        for g, n in self.top[1].items():
+            both[g] = both.get(g, 0) + n
+        self.levels = {c: self.below(x) for c, x in (*self.top.items(), ("both", both))}
+
+    @staticmethod
+    def below(counts):
+        out = {toxicity.ORDER: counts}
+        for order in range(toxicity.ORDER - 1, 0, -1):
+            out[order] = {}
+            for g in out[order + 1]:
+                out[order][g[1:]] = out[order].get(g[1:], 0) + 1
+        return out
+
+    def p(self, c, g, order):
+        if order == 0:
+            return 1 / toxicity.ALPHABET
+        counts = self.levels[c if order >= toxicity.OWN_ORDER else "both"][order]
+        g = g[-order:]
+        once, twice = (sum(n == k for n in counts.values()) for k in (1, 2))
+        d = once / (once + 2 * twice) if once else 0.5
+        of = {x: n for x, n in counts.items() if x[:-1] == g[:-1]}
+        if not of:
+            return self.p(c, g, order - 1)
+        total = sum(of.values())
+        return max(of.get(g, 0) - d, 0) / total + sum(min(n, d) for n in of.values()) / total * self.p(c, g, order - 1)
+
+    def difference(self, w):
+        s, out = chr(toxicity.START) * (toxicity.ORDER - 1) + w + " ", 0.0
+        for k in range(toxicity.ORDER - 1, len(s)):
+            g = s[k - toxicity.ORDER + 1 : k + 1]
+            out += np.log(self.p(1, g, toxicity.ORDER)) - np.log(self.p(0, g, toxicity.ORDER))
+        return out
+
+
+def test_kneser_ney_by_its_definition(spark):
+    data = [(i, t[:300] + " żółć страх", y) for i, t, y in toxic_corpus(6, 60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    plain = PlainKneserNey([(t, y) for i, t, y in data if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)])
+    words = ["zork", "vexquil", "badeco", "a", "unseenword", "żółć", "страх", "стра"]
+    assert model.word_differences(np.array(words, object)) == pytest.approx([plain.difference(w) for w in words], abs=1e-4)
+
+
+def test_model_is_bounded(spark):
+    """Beyond max_grams the rarest grams go; all labelled rows are counted, however few the link is fitted on."""
+    data = toxic_corpus(7, 300)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, toxic int")
+    whole, small = toxicity.fit(docs, labels, max_labelled=20), toxicity.fit(docs, labels, max_grams=500)
+    n = len(np.union1d(whole.toxic[toxicity.ORDER].keys, whole.ordinary[toxicity.ORDER].keys))
+    m = len(np.union1d(small.toxic[toxicity.ORDER].keys, small.ordinary[toxicity.ORDER].keys))
+    assert n > 1000 and 0 < m <= 500
+    scores = toxicity.score(docs, whole).collect()
+    y = dict((i, y) for i, _, y in data)
+    assert np.mean([(r.toxicity >= 0.5) == y[r.doc_id] for r in scores]) > 0.9
+    assert toxicity.least_count([(1, 50), (2, 30), (5, 3)], 33) == 2 and toxicity.least_count([(1, 50), (3, 2)], 60) == 1 and toxicity.least_count([(1, 50), (3, 9)], 5) == 4
+
+
 def test_held_out_labels_are_not_used(spark):
     data = toxic_corpus(4, 300)
     docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
@@ -289,6 +361,47 @@ def test_licences(spark, none):
     assert licenses.scan_licenses(none).count() == 0
 
 
+def plain_labels(index, text):
+    """Own labels and score by their definition: every template at every shift."""
+    ws = licenses.WORD.findall((text or "").translate(licenses.LOWER))
+    labels, best = set(), 0.5 if plain_scan(text)[1] else 0.0
+    stands = lambda phrase: any(ws[i : i + len(phrase)] == phrase for i in range(len(ws)))
+    for t in index.templates:
+        tw = licenses.words(t.text)
+        weight = [index.idf.get(w, 0.0) + 1 for w in tw]
+        have = set(tw) & set(ws)
+        if sum(x for w, x in zip(tw, weight, strict=True) if w in have) < index.agree * sum(weight):
+            continue
+        rarest = sorted(have, key=lambda w: (-index.idf.get(w, 0.0), w))[: index.rare]
+        share = 0.0
+        for s in range(-len(tw), len(ws)):
+            on = [0 <= s + p < len(ws) and ws[s + p] == w for p, w in enumerate(tw)]
+            if 2 * len({w for w, x in zip(tw, on, strict=True) if x} & set(rarest)) >= len(rarest):
+                share = max(share, sum(x for x, y in zip(weight, on, strict=True) if y) / sum(weight))
+        if share >= index.agree and all(stands(licenses.words(k)) for k in t.keys):
+            labels.add(t.label)
+            best = max(best, share)
+    return labels, min(1.0, best)
+
+
+def test_own_labels_by_brute_force(spark):
+    rnd, texts = random.Random(9), []
+    for t in licenses.TEMPLATES:
+        for lost in (0.0, 0.1, 0.3, 0.5):
+            ws = [w if rnd.random() > lost else rnd.choice(["the", "software", f"x{rnd.random()}"]) for w in t.text.split()]
+            texts.append(" ".join(["lead"] * rnd.randint(0, 9) + ws + ["of", "the"] * rnd.randint(0, 9)))
+            texts.append(" ".join(ws[: rnd.randint(1, len(ws))] + ["", "\n//"] + ws))
+    texts += [" ".join(rnd.choice(licenses.TEMPLATES).text for _ in range(3)) for _ in range(10)] + [None, "", "x " * 20000 + licenses.TEMPLATES[0].text]
+    rows = [(i % 50 if i % 7 else None, t, "x", 1) for i, t in enumerate(texts)] + [(3, texts[0], "x", 1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, labels string, word int").repartition(3)
+    index = licenses.Index(licenses.licence_idf(docs, licenses.Index({}).vocabulary))
+    want = {t: plain_labels(index, t) for _, t, *_ in rows}
+    got = licenses.scan_licenses(docs).collect()
+    mine = sorted(((r.doc_id, r.base_labels, r.labels, round(r.score, 9)) for r in got), key=repr)
+    plain = sorted(((i, plain_scan(t)[4], ",".join(sorted(want[t][0] | set(filter(None, plain_scan(t)[4].split(","))))), round(want[t][1], 9)) for i, t, *_ in rows), key=repr)
+    assert mine == plain and {"mit", "bsd-3", "zlib", "gpl-3.0"} <= {x for r in got for x in r.labels.split(",")}
+
+
 def test_licences_on_the_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}
