@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import config, models
+from .. import config, models, schemas
 from ..functions import geometry as G
 from ..operators import coordinates, crops, drawing, grouping, layout, recognition, statistics, tiling
 from ..sources import readers, writers
@@ -187,6 +187,41 @@ def labels(r: Run) -> None:
         r.export(writers.with_png(drawn), _name("visualizations/", F.col("image"), "_annotated.png"), "png")
 
 
+def imported(r: Run, folder: str) -> list[str]:
+    """Writes the tables that stages read from JSON files made elsewhere, wherever they lie below folder: *_ocr.json
+    (detections), *_grouped.json (regions), manifest.json and *_final.json (annotations). Files that can't be read
+    are rejects. Gives the tables that there were files for; run() may start at the stage after."""
+    done = []
+    parent = F.element_at(F.split("file_path", "/"), -2)
+    place = F.row_number().over(Window.partitionBy("file_path").orderBy(F.monotonically_increasing_id())) - 1
+    size = lambda k: F.get("original_image_size", F.lit(k)).cast("long")
+
+    def detections_(rows: DataFrame) -> DataFrame:
+        named = rows.where("tile_id is not null or bbox is not null").withColumns({"image": F.coalesce(readers.stem_of(F.col("source_image")), parent), "det_index": place})
+        return named.drop("file_path")
+
+    def regions_(rows: DataFrame) -> DataFrame:
+        x0, y0, x1, y1 = (c.cast("long") for c in G.envelope(F.col("bbox")))
+        named = rows.where("bbox is not null").withColumns({"image": crops.stem(readers.stem_of(F.col("file_path"))), "component": place, "x0": x0, "y0": y0, "x1": x1, "y1": y1, "width": size(0), "height": size(1), "tile_ids": F.col("grouped_from_tiles")})
+        return named.drop("file_path", "bbox", "bbox_normalized", "grouped_from_tiles", "is_grouped")
+
+    def annotations_(rows: DataFrame) -> DataFrame:
+        named = rows.where("bbox is not null").withColumn("image", coordinates.pdf_stem(readers.stem_of(F.col("file_path"))))
+        return named.withColumnRenamed("bbox", "original_bbox").withColumn("orientation", F.lit(0)).drop("file_path")
+
+    for name, schema, glob, make in (
+        ("detections", schemas.DETECTIONS, "*_ocr.json", detections_), ("regions", schemas.GROUPED, "*_grouped.json", regions_),
+        ("manifest", schemas.MANIFEST, "manifest.json", lambda rows: rows.where("crop_filename is not null").withColumn("image", parent).drop("file_path")),
+        ("annotations", schemas.ANNOTATIONS, "*_final.json", annotations_),
+    ):
+        rows, broken = readers.read_json(r.spark, folder, schema, glob)
+        if not rows.isEmpty() or not broken.isEmpty():
+            r.write(make(rows), name)
+            r.reject(broken, f"imported_{name}")
+            done.append(name)
+    return done
+
+
 STAGES: dict[str, Callable[[Run], None]] = {f.__name__: f for f in (pdf, pages, tiles, detections, regions, cropped, recognised, points, labels)}
 #: The published names of steps, with the first and the last stage each stands for.
 STEPS = {"pdf": ("pdf", "pdf"), "slice": ("pages", "tiles"), "meta": ("tiles", "tiles"), "detect": ("detections", "detections"), "group": ("regions", "regions"), "crop": ("cropped", "cropped"), "recognize": ("recognised", "recognised"), "coord": ("points", "points"), "viz": ("labels", "labels")}
@@ -225,6 +260,7 @@ def main(args: list[str]) -> None:
     p.add_argument("--no-pdf", action="store_true", help="leave the PDF stage out")
     p.add_argument("--artifacts", help="folder for images and JSON files that others read")
     p.add_argument("--pattern", help="part of the names of the images to take")
+    p.add_argument("--import-from", help="folder of JSON files made elsewhere; their tables are written first")
     p.add_argument("--compare", action="store_true", help="print boxes before and after grouping, and end")
     a = p.parse_args(args)
     logging.basicConfig(level=logging.INFO)
@@ -236,7 +272,10 @@ def main(args: list[str]) -> None:
     devices = ("cuda:0", "cpu") if c.detection.gpu else ("cpu",)
     log.info("models are tried on %s", ", ".join(devices))
     start = a.start_at or ("pages" if a.no_pdf else None)
-    run(Run(spark, a.images, a.out, c, pdfs=a.pdfs, artifacts=a.artifacts, pattern=a.pattern), start, a.stop_at)
+    r = Run(spark, a.images, a.out, c, pdfs=a.pdfs, artifacts=a.artifacts, pattern=a.pattern)
+    if a.import_from:
+        log.info("imported %s", ", ".join(imported(r, a.import_from)))
+    run(r, start, a.stop_at)
 
 
 if __name__ == "__main__":

@@ -56,15 +56,13 @@ def _regions(spark: SparkSession, d: str) -> DataFrame:
     return grouping.merge_clusters(placed).withColumns({"crop_idx": n, "width": F.lit(X.PAGE_W).cast("long"), "height": F.lit(X.PAGE_H).cast("long")})
 
 
-def _some_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs at a few distances of index, so that both engines list the same small set: a sample that holds
-    the rules against SQL. All pairs are in pair_overlaps and pair_reasons."""
-    b = X.boxes(spark, d)
-    a = b.select("image", *(F.col(c).alias(f"{c}_i") for c in ["idx", *grouping.BOX]), F.explode(F.expr("array(idx + 1, idx + 2, idx + 10, idx + 1000)")).alias("idx_j"))
-    return a.join(b.select("image", *(F.col(c).alias(f"{c}_j") for c in ["idx", *grouping.BOX])), ["image", "idx_j"])
-
-
-SOME_PAIRS = f"few AS (SELECT a.image, a.idx AS i, b.idx AS j, {X.PAIR} FROM box a JOIN box b ON a.image = b.image AND b.idx - a.idx IN (1, 2, 10, 1000))"
+#: All pairs of an image, and the reason of the decision on each.
+ALL_PAIRS = f"pairs AS (SELECT a.image, a.idx AS i, b.idx AS j, {X.PAIR} FROM box a JOIN box b ON a.image = b.image AND a.idx < b.idx)"
+ALL_DECIDED = f"{ALL_PAIRS}, reasons AS (SELECT image, i, j, {X.REASON} AS reason FROM pairs)"
+OVERLAPS = "FROM pairs WHERE shared > 0"
+IOU = "shared::DOUBLE / (area_a + area_b - shared) AS iou"
+SHARES = "shared::DOUBLE / area_a AS share_i, shared::DOUBLE / area_b AS share_j"
+PASSING = "FROM reasons WHERE NOT starts_with(reason, 'primary')"
 I, J = G.Box.of(suffix="_i"), G.Box.of(suffix="_j")
 BOX = G.Box.of()
 
@@ -127,14 +125,16 @@ def tile_ids(spark, d):
 # Pairs.
 
 
-@query("SELECT image, i, j, CASE WHEN area_a + area_b - shared > 0 THEN shared::DOUBLE / (area_a + area_b - shared) ELSE 0 END AS iou FROM few", X.BOX_CTE, SOME_PAIRS)
+@query(f"SELECT image, i, j, {IOU} {OVERLAPS}", X.BOX_CTE, ALL_PAIRS)
 def pair_iou(spark, d):
-    return _some_pairs(spark, d).select("image", F.col("idx_i").alias("i"), F.col("idx_j").alias("j"), G.iou(I, J).alias("iou"))
+    """Of all pairs of an image; those that aren't listed share no area."""
+    return pair_overlaps(spark, d).select("image", "i", "j", "iou")
 
 
-@query("SELECT image, i, j, shared::DOUBLE / area_a AS share_i, shared::DOUBLE / area_b AS share_j FROM few WHERE area_a > 0 AND area_b > 0", X.BOX_CTE, SOME_PAIRS)
+@query(f"SELECT image, i, j, {SHARES} {OVERLAPS}", X.BOX_CTE, ALL_PAIRS)
 def pair_iol(spark, d):
-    return _some_pairs(spark, d).select("image", F.col("idx_i").alias("i"), F.col("idx_j").alias("j"), G.contained_share(I, J).alias("share_i"), G.contained_share(J, I).alias("share_j"))
+    """Of all pairs of an image; those that aren't listed share no area."""
+    return pair_overlaps(spark, d).select("image", "i", "j", "share_i", "share_j")
 
 
 @query("SELECT image, i, j, victim FROM conflict", X.BOX_CTE, X.GONE_CTE)
@@ -142,29 +142,34 @@ def contained_pairs(spark, d):
     return grouping.conflicts(X.boxes(spark, d), CONFIG.grouping)
 
 
-@query(f"SELECT image, i, j, NOT starts_with({X.REASON}, 'primary') AS passes FROM few", X.BOX_CTE, SOME_PAIRS)
+@query(f"SELECT image, i, j {PASSING}", X.BOX_CTE, ALL_DECIDED)
 def primary_filter(spark, d):
-    larger = G.is_larger(I, J, F.lit(True))
-    reach = F.when(larger, G.in_reach(I, J, 1.0)).otherwise(G.in_reach(J, I, 1.0))
-    return _some_pairs(spark, d).select("image", F.col("idx_i").alias("i"), F.col("idx_j").alias("j"), ((I.horizontal == J.horizontal) & reach).alias("passes"))
+    """The pairs of an image that pass; all others fail."""
+    return grouping.reach_pairs(X.boxes(spark, d), CONFIG.grouping).select("image", "i", "j")
 
 
-@query(f"SELECT image, i, j, {X.REASON} AS reason FROM few", X.BOX_CTE, SOME_PAIRS)
+@query(f"SELECT image, i, j, reason {PASSING}", X.BOX_CTE, ALL_DECIDED)
 def connect_reason(spark, d):
-    reason = G.link_reason(I, J, G.is_larger(I, J, F.lit(True)), CONFIG.grouping)
-    return _some_pairs(spark, d).select("image", F.col("idx_i").alias("i"), F.col("idx_j").alias("j"), reason.alias("reason"))
+    """The decision on all pairs of an image that pass the primary filter; pairs that aren't listed fail it."""
+    return grouping.decided_pairs(X.boxes(spark, d), CONFIG.grouping)
 
 
-@query()
+@query(f"SELECT image, i, j, {IOU}, {SHARES} {OVERLAPS}", X.BOX_CTE, ALL_PAIRS)
 def pair_overlaps(spark, d):
     """IoU and contained shares of all pairs of an image; pairs that aren't listed share no area."""
     return grouping.overlapping(X.boxes(spark, d), CONFIG.grouping)
 
 
-@query()
+@query(f"SELECT image, reason, count(*) AS pairs {PASSING} GROUP BY image, reason", X.BOX_CTE, ALL_DECIDED)
+def reason_totals(spark, d):
+    """How many pairs each rule decides, by image."""
+    return connect_reason(spark, d).groupBy("image", "reason").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+@query(f"SELECT image, i, j, reason {PASSING}", X.BOX_CTE, ALL_DECIDED)
 def pair_reasons(spark, d):
-    """The decision on all pairs of an image that pass the primary filter; pairs that aren't listed fail it."""
-    return grouping.decided_pairs(X.boxes(spark, d), CONFIG.grouping)
+    """The same as connect_reason, under the name that says it has all pairs."""
+    return connect_reason(spark, d)
 
 
 @query("SELECT image, i, j, reason FROM edge", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE)
@@ -507,14 +512,18 @@ def viz_comparison(spark, d):
     return statistics.before_and_after(X.boxes(spark, d), group_boxes(spark, d))
 
 
-@query()
+@query(
+    """SELECT image, image || '_T' || lpad(tile_idx::VARCHAR, 4, '0') AS tile_id, k::INT AS det_index, x1 + bx0 AS x0, y1 + by0 AS y0, x1 + bx1 AS x1, y1 + by1 AS y1, (90 * k)::INT AS rotation_angle
+  FROM (SELECT *, 0 AS k, 8 AS bx0, 10 AS by0, 48 + (x1 + y1) % 23 AS bx1, 26 AS by1 FROM tile UNION ALL SELECT *, 1, 30, 60, 44, 110 + x1 % 17 FROM tile)""",
+    X.TILE_CTE,
+)
 def detector_stub(spark, d):
-    """Detections of the stand-in detector, on the page; no SQL says what a model finds."""
+    """Detections of the stand-in detector, on the page."""
     found = models.detect(_tiles(spark, d).select("image", "tile_id", "x1", "y1", "x2", "y2"), models.stub_detector)
     return tiling.to_page(found).select("image", "tile_id", "det_index", *grouping.BOX, "rotation_angle")
 
 
-@query()
+@query(f"SELECT CASE WHEN crop_idx % 3 = 0 THEN 'EasyOCR' ELSE 'TrOCR' END AS ocr_method, count(*) AS texts, count(DISTINCT image) AS images FROM {CROP_SQL} WHERE \"right\" > \"left\" AND bottom > top GROUP BY ALL", X.BOX_CTE, X.GONE_CTE, X.EDGE_CTE, X.COMPONENT_CTE)
 def recogniser_stub(spark, d):
     """The cascade over stand-in recognisers, the second only for rows that the first leaves."""
     rows = crops.manifest(crops.crop_windows(_regions(spark, d), CONFIG.cropping))

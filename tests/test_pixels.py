@@ -137,6 +137,29 @@ def test_from_pixels_to_annotations(spark, tmp_path):
     assert statistics.time_summary(r.read("runs")).first().runs == 3
 
 
+def test_json_made_elsewhere(spark, tmp_path):
+    """Stages go on from other runs' JSON files, as the tables they stand for."""
+    page = np.full((300, 400, 3), 255, np.uint8)
+    page[20:40, 30:110] = 0
+    os.makedirs(tmp_path / "in")
+    write_png(tmp_path / "in/a.png", page)
+    c = config.Config(tiling=config.Tiling(tile_size=200))
+    r = pipeline.Run(spark, str(tmp_path / "in"), str(tmp_path / "out"), c, models.plugin(blob_detector, log=str(tmp_path / "log")), artifacts=str(tmp_path / "art"))
+    pipeline.run(r)
+    (tmp_path / "art/detections/a/broken_ocr.json").write_text("[{")
+    other = pipeline.Run(spark, r.images, str(tmp_path / "other"), c)
+    assert pipeline.imported(other, r.artifacts) == ["detections", "regions", "manifest", "annotations"]
+    assert other.read("rejects/imported_detections").count() == 1
+    boxes = ["image", "x0", "y0", "x1", "y1", "tile_ids"]
+    assert other.read("regions").select(boxes).collect() == r.read("regions").select(boxes).collect()
+    pipeline.run(pipeline.Run(spark, r.images, r.out, c), "pages", "tiles")
+    texts = other.read("annotations").select("image", "text", "crop_filename", "original_bbox").collect()
+    assert texts == r.read("annotations").select("image", "text", "crop_filename", "original_bbox").collect()
+    pipeline.run(other, "pages", "pages")
+    assert pipeline.run(other, "regions", "labels")[0] == "regions"
+    assert other.read("regions").select(boxes).collect() == r.read("regions").select(boxes).collect() and other.read("labels").count() == len(texts)
+
+
 def test_a_failing_tile_is_a_reject(spark, tmp_path):
     page = np.full((300, 400, 3), 255, np.uint8)
     page[20:40, 30:110] = 0
