@@ -473,6 +473,12 @@ def validation_summary(spark, d):
     return coordinates.validation_summary(dim_validate(spark, d))
 
 
+@query("SELECT image || '_final' AS image, error FROM val WHERE NOT (fits AND error IS NULL)", PDF_CTE)
+def validation_failures(spark, d):
+    """A row for each image that isn't compatible, where validation_summary has their names in one cell."""
+    return coordinates.validation_failures(dim_validate(spark, d))
+
+
 # Layout.
 
 
