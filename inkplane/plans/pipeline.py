@@ -189,8 +189,8 @@ def labels(r: Run) -> None:
 
 def imported(r: Run, folder: str) -> list[str]:
     """Writes the tables that stages read from JSON files made elsewhere, wherever they lie below folder: *_ocr.json
-    (detections), *_grouped.json (regions), manifest.json and *_final.json (annotations). Files that can't be read
-    are rejects. Gives the tables that there were files for; run() may start at the stage after."""
+    (detections), *_grouped.json (regions), manifest.json and *_final.json (annotations, but for those in PDF points,
+    below pdf_perspective). Files that can't be read are rejects. Gives the tables that there were files for; run() may start at the stage after."""
     done = []
     parent = F.element_at(F.split("file_path", "/"), -2)
     place = F.row_number().over(Window.partitionBy("file_path").orderBy(F.monotonically_increasing_id())) - 1
@@ -214,7 +214,7 @@ def imported(r: Run, folder: str) -> list[str]:
         ("manifest", schemas.MANIFEST, "manifest.json", lambda rows: rows.where("crop_filename is not null").withColumn("image", parent).drop("file_path")),
         ("annotations", schemas.ANNOTATIONS, "*_final.json", annotations_),
     ):
-        rows, broken = readers.read_json(r.spark, folder, schema, glob)
+        rows, broken = (x.where(~F.col("file_path").contains("/pdf_perspective/")) for x in readers.read_json(r.spark, folder, schema, glob))
         if not rows.isEmpty() or not broken.isEmpty():
             r.write(make(rows), name)
             r.reject(broken, f"imported_{name}")

@@ -149,7 +149,7 @@ def test_json_made_elsewhere(spark, tmp_path):
     (tmp_path / "art/detections/a/broken_ocr.json").write_text("[{")
     other = pipeline.Run(spark, r.images, str(tmp_path / "other"), c)
     assert pipeline.imported(other, r.artifacts) == ["detections", "regions", "manifest", "annotations"]
-    assert other.read("rejects/imported_detections").count() == 1
+    assert other.read("rejects/imported_detections").count() == 1 and other.read("rejects/imported_annotations").count() == 0
     boxes = ["image", "x0", "y0", "x1", "y1", "tile_ids"]
     assert other.read("regions").select(boxes).collect() == r.read("regions").select(boxes).collect()
     pipeline.run(pipeline.Run(spark, r.images, r.out, c), "pages", "tiles")
@@ -188,6 +188,24 @@ def test_devices():
     assert key == models.plugin(make, fail=["x"]).key != models.plugin(make, fail=["y"]).key
 
 
+def test_shared_folder_is_asked_for():
+    """Off local masters there is no temporary folder: executors wouldn't see it."""
+    from types import SimpleNamespace
+
+    from inkplane.scratch import shared_folder
+
+    def session(master, folder=None):
+        made = []
+        context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda _: folder), setCheckpointDir=made.append)
+        return SimpleNamespace(sparkContext=context)
+
+    for master in ("spark://h:7077", "local-cluster[2,1,1024]", "yarn"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))
+        assert shared_folder(session(master, "hdfs:///x")) == "hdfs:///x"
+    assert shared_folder(session("local[4]")).endswith("inkplane-shared")
+
+
 # PDFs.
 
 
