@@ -14,7 +14,9 @@ group of near copies costs about as many comparisons as it has members.
 
 Defined cases: null and empty texts and texts without words have an empty set and link with nothing;
 fewer words than a shingle has make one shingle of all of them; rows that share an id are one
-document with the links of all of them; rows without an id link with nothing and are kept.
+document with the links of all of them; rows without an id link with nothing and are kept; texts of any
+length are hashed whole; an empty table gives none; columns of docs are kept by first_of_groups, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -149,7 +151,8 @@ def _with_hubs(shared: DataFrame, compared: DataFrame, scratch: Scratch) -> Data
 def _block_links(placed: DataFrame, percent: int) -> DataFrame:
     """(a, b): for members of full centres the smallest node that a member is joined with among two blocks
     of about BLOCK members, strays against all. Shared edits are counted by products of incidence
-    matrices, COLUMNS edits at a time, so a task holds two blocks whatever their number or size."""
+    matrices, COLUMNS edits at a time. A task holds two blocks, whatever their number; how large these are hangs on
+    the members' edits, so very long texts that differ much make large tasks."""
     edits = F.concat("added", F.transform("gone", lambda v: F.bitwise_not(v)))
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     rows = placed.select("a", F.col("b").alias("node"), "linked", "size", F.size("added").alias("n_added"), F.size("gone").alias("n_gone"), edits.alias("edits"), "strays", "n")
