@@ -26,6 +26,8 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import base64
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -75,15 +77,31 @@ PACKS = f"formatted string, tokens array<int>, nodes array<{NODE}>, leaves array
 _ENCODERS: dict[str, object] = {}
 
 
+#: Fixed value: the pre-tokenizer pattern of byte-level BPE, which files of ranks don't hold.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Heads and ends of turns are few and short; texts are each encoded once.
+SHORT = 64
+
+
 def _encoder(path: str | None):
-    """A function texts -> their token ids; one tokenizer for each worker process."""
+    """A function text -> its token ids, from a file of ranks (.tiktoken) or a tokenizer's (.json); one for each
+    worker process."""
     if path is not None and path not in _ENCODERS:
-        from tokenizers import Tokenizer
-
-        model = Tokenizer.from_file(path)
-        model.no_truncation()
-        model.no_padding()
-        _ENCODERS[path] = lambda texts: [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
+        if path.endswith(".tiktoken"):
+            import tiktoken
+
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            from tokenizers import Tokenizer
+
+            model = Tokenizer.from_file(path)
+            model.no_truncation()
+            model.no_padding()
+            encode = lambda text: model.encode(text, add_special_tokens=False).ids
+        short = functools.lru_cache(4096)(encode)
+        _ENCODERS[path] = lambda text: short(text) if len(text) <= SHORT else encode(text)
     return _ENCODERS.get(path)
 
 
@@ -126,15 +144,13 @@ class _Pack:
 
     def _tokens(self, formatted: str, encode) -> list[int]:
         """The nodes' tokens in order; adds to nodes what tells of them."""
-        pieces = []
+        out: list[int] = []
         for n in self.nodes:
-            a = formatted.index("\n", n["start"]) + 1  # roles hold no newline
-            pieces += [formatted[n["start"] : a], formatted[a : n["end"] - len(END)], END]
-        ids, out = encode(pieces), []
-        for k, n in enumerate(self.nodes):
-            at, sizes = len(out), [len(x) for x in ids[3 * k : 3 * k + 3]]
-            for x in ids[3 * k : 3 * k + 3]:
-                out += x
+            a, at, sizes = formatted.index("\n", n["start"]) + 1, len(out), []  # roles hold no newline
+            for piece in (formatted[n["start"] : a], formatted[a : n["end"] - len(END)], END):
+                ids = encode(piece)
+                out += ids
+                sizes.append(len(ids))
             up = self.nodes[n["parent"]] if n["parent"] >= 0 else None
             lost = n["loss_end"] > n["loss_start"]
             n |= {"token_start": at, "token_end": len(out), "token_position": up["token_position"] + up["token_end"] - up["token_start"] if up else 0, "token_loss_start": at + sizes[0], "token_loss_end": at + sizes[0] + (sizes[1] if lost else 0), "token_attends": _joined(up["token_attends"], up["token_start"], up["token_end"]) if up else []}

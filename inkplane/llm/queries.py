@@ -63,7 +63,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    return chat.chat_digest(rows.unionByName(extra), tokenizer_path("byte_bpe_50k.json"))
+    return chat.chat_digest(rows.unionByName(extra), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,12 +153,13 @@ def test_chat(spark):
     assert chat.chat_digest(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
-def test_chat_tokens(spark):
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "byte_bpe_50k.tiktoken"])
+def test_chat_tokens(spark, file):
     """Each node's tokens stand once; along a leaf's path they decode to the conversation, and masks to its loss."""
     from tokenizers import Tokenizer
 
-    path = queries.tokenizer_path("byte_bpe_50k.json")
-    tokenizer, rows = Tokenizer.from_file(path), conversations(2)
+    path = queries.tokenizer_path(file)
+    tokenizer, rows = Tokenizer.from_file(queries.tokenizer_path("byte_bpe_50k.json")), conversations(2)
     packs = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), path).collect()
     seen = 0
     for p in packs:
