@@ -6,8 +6,10 @@ one that is compatible with the last token of what stands before it. Two tokens
 merging by rank never joins anything over their border. The last tokens are stored by prefix;
 following them back from the end gives the ids the merge rules give. No merge is simulated on texts.
 
-Defined cases: a null text is an empty one, with no ids; special tokens inside texts are what the
-tokenizer's file says (a match is one id); undecodable ids become U+FFFD, as in the library.
+Defined cases: a null text is an empty one, with no ids; rows that repeat, or have no id, are encoded each; a
+word of any length, also a long text without white space, is encoded whole, with one list entry for each of its bytes;
+special tokens inside texts are what the tokenizer's file says (a match is one id); undecodable ids become
+U+FFFD, as in the library; an empty table gives none; other columns are kept, but for those that are set.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from ._shared import arrow_batches, text_or_empty, trimming
 #: Fixed value: the pre-tokenizer pattern of byte-level BPE, with white space by Unicode's property. Words come
 #: first, which changes nothing (contractions begin with an apostrophe) and is faster.
 WORDS = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Words kept with their encoding while a task runs, in two generations: a full one becomes the old one,
+#: Words kept with their encoding while a task runs (id_digests: a worker), in two generations: a full one becomes the old one,
 #: and words asked for again move to the young one. Results don't depend on it.
 CACHE_WORDS = 200_000
 #: Pairs of tokens kept with their compatibility; a full cache is emptied.
@@ -48,17 +50,17 @@ def byte_alphabet() -> dict[str, int]:
 class Words(dict):
     """Pieces of text with their ids joined by commas and the bytes these decode to, found when first asked for."""
 
-    def __init__(self, bpe: PrefixBPE):
+    def __init__(self, bpe: PrefixBPE, most: int = CACHE_WORDS):
         super().__init__()
-        self.bpe, self.old = bpe, {}
+        self.bpe, self.old, self.most = bpe, {}, most
 
     def __missing__(self, piece: str) -> tuple[str, bytes]:
         if (found := self.old.get(piece)) is None:
             bpe = self.bpe
             ids = [bpe.added[piece]] if piece in bpe.added else bpe.encode_word(piece.encode())
-            found = ",".join(map(str, ids)), b"".join(map(bpe.bytes_of.__getitem__, ids))
+            found = ",".join([bpe.digits[i] for i in ids]), b"".join([bpe.bytes_of[i] for i in ids])
         if len(piece) <= CACHE_CHARS:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
             self[piece] = found
@@ -74,17 +76,19 @@ class PrefixBPE:
             raise ValueError("a plain byte-level BPE file is needed")
         self.bytes_of = {i: bytes(stand_in[c] for c in t) for t, i in model["vocab"].items() if all(c in stand_in for c in t)}
         id_of = model["vocab"]
-        self.rank: dict[tuple[int, int], int] = {}
+        self.rank: dict[int, int] = {}  # by left << 20 | right
         self.parts: dict[int, tuple[int, int]] = {}
         self.born: dict[int, int] = {}  # the rank of the merge that makes a token; -1: a byte
         for r, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             whole = id_of[a + b]
-            self.rank[id_of[a], id_of[b]] = r
+            self.rank[id_of[a] << 20 | id_of[b]] = r
             if whole not in self.parts:
                 self.parts[whole], self.born[whole] = (id_of[a], id_of[b]), r
         self.born |= {i: -1 for i, b in self.bytes_of.items() if len(b) == 1}
-        self._fits: dict[int, bool] = {}  # by left << 20 | right
+        self._fits: dict[int, dict[int, bool]] = {}  # by left and right
+        self._pairs = 0
+        self._edges: tuple[dict[int, list], dict[int, list]] = {}, {}
         self.automaton = ahocorasick.Automaton()
         for i, b in self.bytes_of.items():
             if len(b) == 1 or i in self.parts and self._meets(*self.parts[i], self.born[i]):
@@ -92,8 +96,10 @@ class PrefixBPE:
         self.automaton.make_automaton()
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of |= {i: t.encode() for t, i in self.added.items()}
+        self.digits = {i: str(i) for i in self.bytes_of}
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         self.words = regex.compile(WORDS)
+        self.kept: Words | None = None
 
     def _meets(self, left: int, right: int, before: int) -> bool:
         """Whether both stand side by side until merges of rank before: no merge over their border comes earlier.
@@ -102,48 +108,64 @@ class PrefixBPE:
         along first parts. A pair of them can merge while both exist; at equal ranks the merge
         further left comes first.
         """
-        a, b = [(left, before)], [(right, before)]
-        while a[-1][0] in self.parts:
-            a.append((self.parts[a[-1][0]][1], self.born[a[-1][0]]))
-        while b[-1][0] in self.parts:
-            b.append((self.parts[b[-1][0]][0], self.born[b[-1][0]]))
-        i, j = len(a) - 1, len(b) - 1
+        a, b = self._edge(left, 1), self._edge(right, 0)
+        i, j = len(a), len(b)
+        x, x_ends = a[-1] if i else (left, before)
+        y, y_ends = b[-1] if j else (right, before)
+        rank = self.rank
         while True:
-            (x, x_ends), (y, y_ends) = a[i], b[j]
-            r = self.rank.get((x, y), NEVER)
+            r = rank.get(x << 20 | y, NEVER)
             if r < x_ends and (r <= y_ends if y_ends < before else r < y_ends):
                 return False
             if i == 0 and j == 0:
                 return True
             if j == 0 or i and x_ends <= y_ends:
                 i -= 1
+                x, x_ends = a[i - 1] if i else (left, before)
             else:
                 j -= 1
-
-    def forget(self) -> None:
-        """Lets go of the pairs that a task has looked up."""
-        self._fits.clear()
+                y, y_ends = b[j - 1] if j else (right, before)
+
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """What stands at a token's left (0) or right (1) edge before it is made, the latest first, and the rank at
+        which each ends."""
+        known = self._edges[side]
+        if (found := known.get(token)) is None:
+            found = known[token] = []
+            while token in self.parts:
+                found.append((self.parts[token][side], self.born[token]))
+                token = found[-1][0]
+        return found
 
     def fits(self, left: int, right: int) -> bool:
-        key = left << 20 | right
-        if (known := self._fits.get(key)) is None:
-            if len(self._fits) >= CACHE_PAIRS:
+        known = self._fits.get(left)
+        if known is None or (found := known.get(right)) is None:
+            if self._pairs >= CACHE_PAIRS:
                 self._fits.clear()
-            known = self._fits[key] = self._meets(left, right, NEVER)
-        return known
+                self._pairs = 0
+            found = self._fits.setdefault(left, {})[right] = self._meets(left, right, NEVER)
+            self._pairs += 1
+        return found
 
     def encode_word(self, word: bytes) -> list[int]:
-        last: list[tuple[int, int] | None] = [None] * (len(word) + 1)  # by prefix length: its last token and that one's length
+        last, size = [-1] * (len(word) + 1), [0] * (len(word) + 1)  # by prefix length: its last token and that one's length
+        known, none = self._fits, {}
         for end, (token, n) in self.automaton.iter(word.decode("latin-1")):
-            if last[end + 1] is None:
+            if last[end + 1] < 0:
                 start = end + 1 - n
-                if start == 0 or (before := last[start]) is not None and self.fits(before[0], token):
-                    last[end + 1] = (token, n)
+                if start:
+                    before = last[start]
+                    if before < 0:
+                        continue
+                    if (ok := known.get(before, none).get(token)) is None:
+                        ok = self.fits(before, token)
+                    if not ok:
+                        continue
+                last[end + 1], size[end + 1] = token, n
         ids, at = [], len(word)
         while at:
-            token, n = last[at]
-            ids.append(token)
-            at -= n
+            ids.append(last[at])
+            at -= size[at]
         return ids[::-1]
 
     def pieces(self, text: str) -> list[str]:
@@ -188,7 +210,6 @@ def with_ids(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataFram
             ids = pa.array([bpe.encode(t or "", words) for t in b.column(at).to_pylist()], pa.list_(pa.int32()))
             more = [pa.array([bpe.decode(x) for x in ids.to_pylist()], pa.string())] if decoded else []
             yield pa.RecordBatch.from_arrays([*b.columns, ids, *more], [*b.schema.names, *names])
-        bpe.forget()
 
     kinds = [T.ArrayType(T.IntegerType()), T.StringType()]
     return docs.mapInArrow(trimming(run), T.StructType([*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(names, kinds, strict=False))]))
@@ -215,7 +236,7 @@ def id_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     def run(batches):
         bpe = loaded(tokenizer)
-        words = Words(bpe)
+        words = bpe.kept = bpe.kept or Words(bpe)  # by this worker's later tasks too
         for b in batches:
             n, ids, back = [], [], []
             for text in b.column(1).to_pylist():
@@ -225,7 +246,6 @@ def id_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
                 ids.append(hashlib.sha256(joined.encode()).hexdigest())
                 back.append(hashlib.sha256(b"".join([f[1] for f in found]).decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        bpe.forget()
 
     texts = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     return texts.mapInArrow(trimming(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
