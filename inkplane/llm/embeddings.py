@@ -4,7 +4,8 @@ A rotation is learned on a bounded sample so that the signs of the rotated, cent
 balanced binary codes (alternately the nearest codes of the rotated sample and, by an SVD, the best
 rotation onto them). A code's BITS bits are cut into TABLES chunks; two vectors are candidates when,
 in one table at least, their chunks differ in at most one bit: every vector asks for its chunk and
-that chunk with each single bit flipped. A pair is taken in the first such table only. Candidates
+that chunk with each single bit set that isn't, so of two such chunks the smaller one asks. A pair is taken in
+the first such table only. Candidates
 whose codes differ in more than FAR bits are let go; the others are compared by cosine, in double
 precision, on the original vectors. Only vectors of one label meet, and equal vectors are one class.
 
@@ -117,23 +118,25 @@ def _entries(coded: DataFrame) -> DataFrame:
 
 
 def _asked(entries: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Every vector's questions: own bucket, and the buckets one bit off, with both buckets' sizes."""
+    """Every vector's questions: own bucket, and the larger buckets one bit off, with both buckets' sizes. The
+    questions are the same for all of a bucket, so it asks once, and only for buckets that there are."""
     flips = F.array(*(F.lit(x).cast("long") for x in [0, *(1 << k for k in range(CHUNK))]))
-    own = entries.join(sizes.withColumnRenamed("n", "n_own"), BUCKET).withColumn("flip", F.explode(flips))
-    asked = own.select("class", "code", *GROUP, "t", F.col("chunk").alias("own"), F.col("chunk").bitwiseXOR(F.col("flip")).alias("chunk"), "n_own")
-    return asked.join(sizes, BUCKET)
+    more = F.filter(flips, lambda x: F.col("chunk").bitwiseAND(x) == 0)
+    buckets = sizes.select(*GROUP, "t", F.col("chunk").alias("own"), F.col("n").alias("n_own"), F.explode(F.transform(more, lambda x: F.col("chunk").bitwiseOR(x))).alias("chunk"))
+    buckets = buckets.join(sizes, BUCKET).where("own <> chunk or n > 1")
+    return entries.withColumnRenamed("chunk", "own").join(buckets, [*GROUP, "t", "own"])
 
 
 def candidate_pairs(asked: DataFrame, entries: DataFrame) -> DataFrame:
     """(a, b) with a < b that meet in a table, from the questions and the held entries."""
-    asked = asked.select(F.col("class").alias("a"), F.col("code").alias("code_a"), *BUCKET)
+    asked = asked.select(F.col("class").alias("a"), F.col("code").alias("code_a"), *BUCKET, "own")
     held = entries.select(F.col("class").alias("b"), F.col("code").alias("code_b"), *BUCKET)
     differ = F.col("code_a").bitwiseXOR(F.col("code_b"))
     near = [F.bit_count(F.shiftrightunsigned(differ, t * CHUNK).bitwiseAND((1 << CHUNK) - 1)) <= 1 for t in range(TABLES)]
     first = F.when(near[0], 0)
     for t in range(1, TABLES):
         first = first.when(near[t], t)
-    return asked.join(held, BUCKET).where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= FAR) & (first == F.col("t"))).select("a", "b")
+    return asked.join(held, BUCKET).where(((F.col("a") < F.col("b")) | (F.col("own") != F.col("chunk"))) & (F.bit_count(differ) <= FAR) & (first == F.col("t"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def block_links(asked: DataFrame, entries: DataFrame, vectors: DataFrame, threshold: float) -> DataFrame:
@@ -156,7 +159,9 @@ def block_links(asked: DataFrame, entries: DataFrame, vectors: DataFrame, thresh
         x = _matrix(table.column("vector").combine_chunks())
         x /= np.sqrt((x * x).sum(1))[:, None]
         differ = code[asks][:, None] ^ code[~asks][None, :]
-        ok = (x[asks] @ x[~asks].T >= threshold) & (ids[asks][:, None] < ids[~asks][None, :]) & (np.bitwise_count(differ.view(np.uint64)) <= FAR)
+        ok = (x[asks] @ x[~asks].T >= threshold) & (np.bitwise_count(differ.view(np.uint64)) <= FAR)
+        if table.column("own")[0].as_py() == table.column("chunk")[0].as_py():
+            ok &= ids[asks][:, None] < ids[~asks][None, :]
         for t in range(table.column("t")[0].as_py()):  # met in an earlier table already
             ok &= np.bitwise_count((differ >> (t * CHUNK)) & ((1 << CHUNK) - 1)) > 1
         if not ok.any():
