@@ -67,4 +67,7 @@ def validation_failures(validated: DataFrame) -> DataFrame:
 
 
 def validation_summary(validated: DataFrame) -> DataFrame:
-    return validated.agg(F.count(F.lit(1)).alias("images"), F.count_if("compatible").alias("compatible"), F.array_join(F.array_sort(F.collect_list(F.when(~F.col("compatible"), F.col("image")))), ",").alias("failing"))
+    """Counts, and the names that aren't compatible in the order of their stems (null if there are none)."""
+    order = F.struct(F.regexp_replace("image", "_final$", "").alias("stem"), "image")
+    names = F.transform(F.array_sort(F.collect_list(F.when(~F.col("compatible"), order))), lambda x: x["image"])
+    return validated.agg(F.count(F.lit(1)).alias("images"), F.count_if("compatible").alias("compatible"), F.when(F.size(names) > 0, F.array_join(names, ",")).alias("failing"))

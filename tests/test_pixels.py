@@ -249,6 +249,13 @@ def test_scanned_pdfs(spark, tmp_path, packed):
 # What else the stages use.
 
 
+def test_validation_summary_sorts_by_stem(spark):
+    """A name that begins another one's comes first, though "_" follows the digits; no failures are a null."""
+    rows = spark.createDataFrame([("P100000_final", False), ("P10001_final", False), ("P10000_final", False), ("P3_final", True)], "image string, compatible boolean")
+    assert coordinates.validation_summary(rows).collect() == [(4, 1, "P10000_final,P100000_final,P10001_final")]
+    assert coordinates.validation_summary(rows.where("compatible")).collect() == [(1, 1, None)]
+
+
 def test_validation_of_annotation_files(spark, tmp_path):
     for name, text in (("a_final.json", '[{"text": "x", "original_image_size": [600, 600]}]'), ("b_final.json", "{"), ("c_final.json", '[{"text": "x"}]'), ("d_final.json", '[{"text": "x", "original_image_size": [600, 600]}]')):
         (tmp_path / name).write_text(text)
