@@ -7,11 +7,10 @@ A text's features are length-normalised comparisons of the two over its words: t
 the mean excess of the difference over EXCESS nats and the share of words whose difference exceeds
 CLEAR nats. A logistic link, fitted on labelled rows that gave no counts, turns them into a score.
 
-The models' counts are those of all labelled rows but the held out and the link's, so they grow with the
-input. Beyond MAX_GRAMS distinct grams (a model of some 60 bytes each) the rarest go, by the least count that leaves no
-more; so what the driver gathers and the workers get is bounded in bytes. The link is a classifier, fitted on
-at most max_labelled of its rows, chosen by a hash of the id. Scoring is one pass over whole texts without a
-shuffle. Labels, lang, source and doc_id are no inputs of a score. Words are scored each by itself:
+The models' counts are those of all labelled rows but the held out and the link's, and every gram stays; so the model
+grows with the distinct grams of words, some 60 bytes each, at the driver and in the workers. The link is fitted
+on all of its rows: each step of Newton's method sums over them where they lie. max_grams and max_labelled
+bound both for callers that ask for it. Scoring is one pass over whole texts without a shuffle. Labels, lang, source and doc_id are no inputs of a score. Words are scored each by itself:
 expressions of several ordinary words aren't modelled.
 
 Defined cases: a null text is an empty one; an empty text has all features 0 and gets the link's
@@ -41,9 +40,8 @@ START = 2  # what stands before a word
 ALPHABET = 200  # the last backoff is uniform over so many characters
 LONGEST = 64  # a longer word's difference is scaled to this length
 EXCESS, CLEAR = 4.0, 12.0
-MAX_LABELLED = 200_000  # rows that the link is fitted on
-MAX_GRAMS = 2_000_000  # distinct grams of the longest order in a model
-SMALL_TABLE = 2_000_000  # labels up to which their table (16 bytes a row) is broadcast
+SMALL_TABLE = 2_000_000  # labels up to which their table (16 bytes a row) is broadcast; the counts are the same either way
+STEPS, NEAR = 40, 1e-10  # of Newton's method: at most so many, the last one not larger
 
 
 def folds(doc_id: Column | str = "doc_id") -> Column:
@@ -98,16 +96,25 @@ class _Level:
         return self._at(self.keys, self.share, asked, 0.0) + self._at(self.contexts, self.rest, asked >> BITS, 1.0) * below
 
 
-def _levels(keys: np.ndarray, n: np.ndarray, lowest: int) -> dict[int, _Level]:
-    """Levels from ORDER down: counts at the top, below it the numbers of distinct left neighbours."""
+def _levels(keys: np.ndarray, n: np.ndarray) -> dict[int, _Level]:
+    """A class's levels from ORDER down to OWN_ORDER: counts at the top, below it the numbers of distinct left neighbours."""
     out = {}
-    for order in range(ORDER, lowest - 1, -1):
+    for order in range(ORDER, OWN_ORDER - 1, -1):
         if order < ORDER:
             keys, n = np.unique(keys & ((1 << (BITS * order)) - 1), return_counts=True)
         out[order] = _Level(keys, n)
     return out
 
 
+def _shared_levels(keys: np.ndarray) -> dict[int, _Level]:
+    """The levels below OWN_ORDER, of both classes' grams."""
+    out, keys = {}, np.unique(keys & ((1 << (BITS * OWN_ORDER)) - 1))
+    for order in range(OWN_ORDER - 1, 0, -1):
+        keys, n = np.unique(keys & ((1 << (BITS * order)) - 1), return_counts=True)
+        out[order] = _Level(keys, n)
+    return out
+
+
 @dataclass
 class Model:
     """Counts of ORDER-grams by class, as (keys, n), and the link's weights."""
@@ -124,8 +131,7 @@ class Model:
         keys, toxic, ordinary = keys[order], toxic[order], ordinary[order]
         if not toxic.any() or not ordinary.any():
             return cls({}, {}, {}, constant=1.0 if toxic.any() else 0.0)
-        shared = _levels(keys, toxic + ordinary, 1)
-        return cls(_levels(keys[toxic > 0], toxic[toxic > 0], OWN_ORDER), _levels(keys[ordinary > 0], ordinary[ordinary > 0], OWN_ORDER), {k: v for k, v in shared.items() if k < OWN_ORDER})
+        return cls(_levels(keys[toxic > 0], toxic[toxic > 0]), _levels(keys[ordinary > 0], ordinary[ordinary > 0]), _shared_levels(keys))
 
     def word_differences(self, words: np.ndarray) -> np.ndarray:
         """Log-likelihood under the toxic model less that under the ordinary one, of each word."""
@@ -153,20 +159,34 @@ class Model:
                 out[:, k] = np.bincount(text, v, len(texts)) / least
         return out
 
-    def fit_link(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Logistic regression with a small ridge, by Newton's method; even weights if a class is missing."""
+    def fit_link(self, rows: DataFrame) -> None:
+        """Logistic regression with a small ridge, by Newton's method, on all rows (a, b, c, toxic); even weights if a class
+        is missing. Weights have nine digits, so the order of sums doesn't show."""
         if self.constant is not None:
             return
-        if len(y) == 0 or y.min() == y.max():
+        names, y = ("a", "b", "c"), F.col("toxic").cast("double")
+        about = rows.agg(F.min("toxic"), F.max("toxic"), *(f(n) for f in (F.avg, F.stddev_pop) for n in names)).first()
+        if about[0] == about[1]:  # or no rows
             self.weights = np.array([-3.0, 10.0, 20.0, 100.0])
             return
-        mean, dev = x.mean(0), x.std(0) + 1e-9
-        a, ridge = np.c_[np.ones(len(x)), (x - mean) / dev], 0.1
-        w = np.zeros(a.shape[1])
-        for _ in range(40):
-            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-            w += np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge * np.eye(len(w)), a.T @ (y - p) - ridge * w)
-        self.weights = np.r_[w[0] - (w[1:] * mean / dev).sum(), w[1:] / dev]
+        mean, dev = np.array(about[2:5]), np.array(about[5:8]) + 1e-9
+        x, ridge = [F.lit(1.0), *((F.col(n) - float(m)) / float(d) for n, m, d in zip(names, mean, dev, strict=True))], 0.1
+        w = np.zeros(len(x))
+        upper = np.triu_indices(len(x))
+        for _ in range(STEPS):
+            z = sum((float(v) * c for v, c in zip(w[1:], x[1:], strict=True)), F.lit(float(w[0])))
+            p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))
+            at = rows.select(*(c.alias(f"x{k}") for k, c in enumerate(x)), p.alias("p"), y.alias("y"))
+            gradient = [F.sum((F.col("y") - F.col("p")) * F.col(f"x{i}")) for i in range(len(x))]
+            second = [F.sum(F.col("p") * (1 - F.col("p")) * F.col(f"x{i}") * F.col(f"x{j}")) for i, j in zip(*upper, strict=True)]
+            sums = np.array(at.agg(*gradient, *second).first())
+            h = np.zeros((len(x), len(x)))
+            h[upper] = sums[len(x) :]
+            step = np.linalg.solve(h + np.triu(h, 1).T + ridge * np.eye(len(x)), sums[: len(x)] - ridge * w)
+            w += step
+            if np.abs(step).max() <= NEAR:
+                break
+        self.weights = np.array([float(f"{v:.9g}") for v in np.r_[w[0] - (w[1:] * mean / dev).sum(), w[1:] / dev]])
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.constant is not None:
@@ -184,15 +204,19 @@ def least_count(sizes: list[tuple[int, int]], most: int) -> int:
     return max((c for c, _ in sizes), default=0) + 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_grams: int = MAX_GRAMS) -> Model:
-    """The model from labelled rows of folds 1 to 4: three give counts, the fourth fits the link (see above for bounds)."""
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, max_grams: int | None = None) -> Model:
+    """The model from all labelled rows of folds 1 to 4: three give counts, the fourth fits the link. A caller may bound
+    the link's rows (by a hash of the id) and the grams (the rarest go)."""
     spark = docs.sparkSession
     arrow_batches(spark)
     scratch = Scratch(spark, "toxicity")
     chosen = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (folds() != 0)).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = scratch.save(chosen.withColumn("fold", folds()), "labels")
-    counted, linked = chosen.where("fold <> 4"), chosen.where("fold = 4").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    side = F.broadcast(counted) if chosen.count() <= SMALL_TABLE else counted  # else both sides are sorted
+    counted, linked = chosen.where("fold <> 4"), chosen.where("fold = 4")
+    if max_labelled is not None:
+        linked = linked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    if chosen.count() <= SMALL_TABLE:  # else both sides are sorted
+        counted, linked = F.broadcast(counted), F.broadcast(linked)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,9 +231,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
             got = [np.bincount(back, w[word], len(keys)).astype(np.int64) for w in by_word]
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(got[0]), pa.array(got[1])], ["gram", "toxic", "ordinary"])
 
-    grams = texts.join(side, "doc_id").select("text", "toxic").mapInArrow(trimming(count), "gram long, toxic long, ordinary long")
+    grams = texts.join(counted, "doc_id").select("text", "toxic").mapInArrow(trimming(count), "gram long, toxic long, ordinary long")
     grams = scratch.save(grams.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")), "grams")
-    if grams.count() > max_grams:
+    if max_grams is not None and grams.count() > max_grams:
         sizes = grams.groupBy(F.least(F.col("toxic") + F.col("ordinary"), F.lit(4096)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()  # 4,096 rows at most
         grams = grams.where(F.col("toxic") + F.col("ordinary") >= least_count([(r.c, r.n) for r in sizes], max_grams))
     got = grams.toArrow()
@@ -224,10 +248,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
                 x = sent.value.features(b.column(0).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(pa.array(x[:, k]) for k in range(3)), b.column(1)], ["a", "b", "c", "toxic"])
 
-        held = texts.join(F.broadcast(linked), "doc_id").select("text", "toxic").mapInArrow(trimming(measure), "a double, b double, c double, toxic int").toArrow()
-        x = np.stack([held.column(k).to_numpy() for k in "abc"], 1)
-        order = np.lexsort((held.column("toxic").to_numpy(), *x.T))  # the sum's order doesn't hang on the tasks'
-        model.fit_link(x[order], held.column("toxic").to_numpy()[order].astype(float))
+        measured = texts.join(linked, "doc_id").select("text", "toxic").mapInArrow(trimming(measure), "a double, b double, c double, toxic int")
+        model.fit_link(scratch.save(measured, "link"))
+        scratch.drop("link")
         sent.destroy()
     scratch.drop("labels", "grams")
     trim()
@@ -248,7 +271,7 @@ def score(docs: DataFrame, model: Model, column: str = "toxicity") -> DataFrame:
     return docs.mapInArrow(trimming(run), T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted of each row of docs."""
     scored = score(docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")), fit(docs, labels, max_labelled))
     return scored.select("doc_id", (folds() == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))

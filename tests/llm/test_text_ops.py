@@ -128,6 +128,41 @@ def test_model_is_bounded(spark):
     assert toxicity.least_count([(1, 50), (2, 30), (5, 3)], 33) == 2 and toxicity.least_count([(1, 50), (3, 2)], 60) == 1 and toxicity.least_count([(1, 50), (3, 9)], 5) == 4
 
 
+def test_model_is_whole_by_default(spark, monkeypatch):
+    """All grams stay and all of the link's rows fit it, above two million grams and 200,000 rows as well."""
+    rows = spark.range(1_030_000).selectExpr("id as doc_id", "lpad(hex(id * 2654435761 % 4294967296), 8, '0') as text", "int(id % 2) as toxic")
+    fitted = []
+    monkeypatch.setattr(toxicity.Model, "fit_link", lambda self, link, *_: fitted.append(link.count() if hasattr(link, "columns") else len(link)))
+    model = toxicity.fit(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    of = rows.where(toxicity.folds().isin(1, 2, 3)).select("text").toPandas().text.str.lower().to_numpy(object)
+    grams = len(np.unique(toxicity._grams(of)[0]))
+    assert grams > 2_000_000 and len(np.union1d(model.toxic[toxicity.ORDER].keys, model.ordinary[toxicity.ORDER].keys)) == grams
+    assert fitted == [rows.where(toxicity.folds() == 4).count()] and fitted[0] > 200_000
+
+
+def test_model_does_not_depend_on_how_labels_are_joined(spark, monkeypatch):
+    data = toxic_corpus(8, 300)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, toxic int")
+    small = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "SMALL_TABLE", 0)
+    assert {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()} == small
+
+
+def test_link_is_a_logistic_regression(spark):
+    rnd = np.random.default_rng(5)
+    x = np.c_[rnd.normal(0, 2, 400), rnd.exponential(1, 400), np.zeros(400)]
+    y = (rnd.random(400) < 1 / (1 + np.exp(1 - x[:, 0] - 2 * x[:, 1]))).astype(int)
+    model = toxicity.Model({}, {}, {})
+    model.fit_link(spark.createDataFrame([(*map(float, r), int(c)) for r, c in zip(x, y, strict=True)], "a double, b double, c double, toxic int").repartition(3))
+    a, w = (x - x.mean(0)) / (x.std(0) + 1e-9), np.zeros(4)
+    a = np.c_[np.ones(400), a]
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-(a @ w)))
+        w += np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + 0.1 * np.eye(4), a.T @ (y - p) - 0.1 * w)
+    assert model.weights[0] + x @ model.weights[1:] == pytest.approx(a @ w, rel=1e-6, abs=1e-6)
+
+
 def test_held_out_labels_are_not_used(spark):
     data = toxic_corpus(4, 300)
     docs = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
