@@ -1,6 +1,7 @@
 """Mixing, chat formatting, and the pipeline over all stages."""
 
 import hashlib
+import inspect
 import os
 import random
 import re
@@ -255,6 +256,21 @@ def test_stages_with_odd_rows(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_pipeline_has_the_whole_model(spark, sf_dir, monkeypatch):
+    """The pipeline's model isn't bounded: neither its grams nor the link's rows, however large the input."""
+    given, fit = [], toxicity.fit
+
+    def spied(*args, **named):
+        bound = inspect.signature(fit).bind(*args, **named)
+        bound.apply_defaults()
+        given.append({k: v for k, v in bound.arguments.items() if k.startswith("max_")})
+        return fit(*args, **named)
+
+    monkeypatch.setattr(toxicity, "fit", spied)
+    assert 0 < corpus_pipeline.drop_toxic(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir).count()
+    assert given == [{"max_labelled": None, "max_grams": None}]
+
+
 def test_stages(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "MinHash near-dedup", "mixing sources to target weights", "BPE encoding and decoding"]
