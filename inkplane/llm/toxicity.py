@@ -78,7 +78,10 @@ class _Level:
 
     def __init__(self, keys: np.ndarray, n: np.ndarray):
         self.keys = keys
-        self.contexts, of = np.unique(keys >> BITS, return_inverse=True)
+        contexts = keys >> BITS  # sorted, as keys are
+        new = np.append(True, contexts[1:] != contexts[:-1])[: len(keys)]
+        self.contexts, of = contexts[new], (np.cumsum(new, dtype=np.int32) if len(keys) < 1 << 31 else np.cumsum(new)) - 1
+        del contexts, new
         total = np.bincount(of, n)
         once, twice = (n == 1).sum(), (n == 2).sum()
         discount = once / (once + 2 * twice) if once else 0.5
@@ -127,8 +130,7 @@ class Model:
 
     @classmethod
     def of(cls, keys: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> Model:
-        order = np.argsort(keys)
-        keys, toxic, ordinary = keys[order], toxic[order], ordinary[order]
+        """keys: sorted."""
         if not toxic.any() or not ordinary.any():
             return cls({}, {}, {}, constant=1.0 if toxic.any() else 0.0)
         return cls(_levels(keys[toxic > 0], toxic[toxic > 0]), _levels(keys[ordinary > 0], ordinary[ordinary > 0]), _shared_levels(keys))
@@ -236,9 +238,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int | None = None, max
     if max_grams is not None and grams.count() > max_grams:
         sizes = grams.groupBy(F.least(F.col("toxic") + F.col("ordinary"), F.lit(4096)).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()  # 4,096 rows at most
         grams = grams.where(F.col("toxic") + F.col("ordinary") >= least_count([(r.c, r.n) for r in sizes], max_grams))
-    got = grams.toArrow()
-    model = Model.of(*(got.column(k).to_numpy().astype(np.int64) for k in ("gram", "toxic", "ordinary")))
-    del got
+    got, columns = grams.orderBy("gram").toArrow(), []
+    for name in ("gram", "toxic", "ordinary"):
+        columns.append(got.column(name).to_numpy())
+        got = got.drop_columns([name])
+    model = Model.of(*columns)
+    del got, columns
     trim()  # the driver is small too
     if model.constant is None:
         sent = spark.sparkContext.broadcast(model)
