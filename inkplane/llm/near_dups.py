@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import Scratch, arrow_batches, free_name, hashes_of_words, mixed, text_or_empty, trimming
@@ -38,7 +38,7 @@ VALUES = BANDS * BAND_VALUES
 PERMUTATIONS = VALUES // 2
 SKETCH = -(-VALUES // 64)  # 64-bit words of a sketch
 SURE = 5.4  # standard deviations
-FULL = 16_384  # pairs of strays and members; a centre with more is compared by blocks
+FULL = 32  # meetings by shared keys for each member; a centre of whose members more would meet is compared by blocks
 BLOCK = 256
 SLICE = 64  # texts hashed at once
 COLUMNS = 4096
@@ -118,15 +118,11 @@ def _sets(words: int):
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Centres a and members b on their full sets: size (of a's), added and gone (what b has beyond a and
-    lacks of a), lead (b's first shingles, those that a lacks before others: so many that a set that links
-    with b must have one of them, and so on both sides), linked."""
+    """Centres a and members b on their full sets: size (of a's), added and gone (what b has beyond a and lacks of a), linked."""
     left = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")).hint("merge")
     right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")).hint("merge")
     both = pairs.join(left, "b").join(right, "a")
-    out_of = F.size("y") - F.expr(f"(size(y) * {percent} + 99) div 100").cast("int") + 1  # whole numbers, so nothing is rounded
-    lead = F.slice(F.concat(F.array_sort(F.array_except("y", "x")), F.array_sort(F.array_intersect("y", "x"))), F.lit(1), out_of)
-    both = both.select("a", "b", F.size("x").alias("size"), F.array_except("y", "x").alias("added"), F.array_except("x", "y").alias("gone"), lead.alias("lead"))
+    both = both.select("a", "b", F.size("x").alias("size"), F.array_except("y", "x").alias("added"), F.array_except("x", "y").alias("gone"))
     linked = 100 * (F.col("size") - F.size("gone")) >= percent * (F.col("size") + F.size("added"))
     return both.withColumn("linked", linked)
 
@@ -202,44 +198,71 @@ def least_bits(percent: int) -> int:
     return math.floor(VALUES * p - SURE * math.sqrt(VALUES * p * (1 - p)))
 
 
-def _links_past_centres(compared: DataFrame, joined: DataFrame, sketches: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _keys(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The keys by which members b of centres a meet: a, b, stands, stray, component, sketch, size (of b's set, or edits), key,
+    place (the key's in b's order, from 1), asks (else b only holds it). In an order go first the keys that the fewest
+    strays have; one that no stray but b has is left out."""
+    edits = F.concat("added", F.transform("gone", lambda v: F.bitwise_not(v)))
+    shared = F.expr(f"({percent} * size(added) + 100 * size(gone) + {100 + percent}) div {100 + percent}").cast("int")
+    by_edits = placed.where("stands").select("a", "b", "stands", (~F.col("linked")).alias("stray"), edits.alias("keys"), (F.size("added") + F.size("gone") - shared + 1).alias("asked"))
+    out_of = F.size("shingles") - F.expr(f"(size(shingles) * {percent} + 99) div 100").cast("int") + 1  # whole numbers, so nothing is rounded
+    members = placed.where("not stands").select("a", "b", "stands", (~F.col("linked")).alias("stray"))
+    by_sets = members.join(sets.withColumnRenamed("node", "b"), "b").select(*members.columns, F.col("shingles").alias("keys"), out_of.alias("asked"))
+    # rows that share an id have sets of their own
+    own = ["a", "b", "stands", "stray", "row", "size", "asked"]
+    each = by_edits.unionByName(by_sets).withColumns({"row": F.xxhash64("keys"), "size": F.size("keys")}).select(*own, F.explode("keys").alias("key"))
+    each = each.withColumn("often", F.count_if("stray").over(Window.partitionBy("a", "key")))  # a row each: no pairs, and one exchange
+    others = each.where(F.col("often") > F.col("stray").cast("int"))
+    ordered = others.groupBy(*own).agg(F.array_sort(F.collect_set(F.struct("often", "key"))).alias("keys"))
+    ordered = ordered.join(placed.select("a", "b", "component", "sketch").dropDuplicates(["a", "b"]), ["a", "b"])
+    left_out = F.col("size") - F.size("keys")
+    used = F.when(F.col("stands") & F.col("stray"), F.size("keys")).otherwise(F.greatest(F.col("asked") - left_out, F.lit(0)))
+    out = ordered.select("a", "b", "stands", "stray", "component", "sketch", "size", "asked", left_out.alias("left_out"), F.posexplode(F.slice("keys", F.lit(1), used)).alias("at", "k"))
+    place = F.col("left_out") + F.col("at") + 1
+    return out.select("a", "b", "stands", "stray", "component", "sketch", "size", F.col("k.key").alias("key"), place.alias("place"), (place <= F.col("asked")).alias("asks"))
+
+
+def _links_past_centres(compared: DataFrame, joined: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) between members of one bucket that its centre doesn't join and that are in different
     components of the links found so far (joined: node, component).
 
-    Let x not be linked with the centre, and y be another member. Two filters that lose no link find
+    Let x not be linked with the centre (a stray), and y be another member. Two filters that lose no link find
     candidates by shared keys; each centre's members use one of them.
 
     Where most members link with the centre, it stands for them, and their edits (shingles added, shingles
     gone) tell them apart. If x and y link, counting gives at least (1 + percent * added + 100 * gone) /
     (100 + percent) edits that both share, by y's numbers. So among any so many of y's edits that fewer
-    are left out there is one of x's: y asks with as many, the added ones first, and all of x's are held.
+    are left out there is one of x's: y asks with as many, and all of x's are held.
+
+    Elsewhere the members share some passage with the centre and not much else, and the first shingles of x and y
+    must meet (prefix filtering). Where the first that both have stands, enough must be left in both.
 
-    Elsewhere the members share some passage with the centre and not much else, and the leads of x and y
-    must meet (prefix filtering, with the centre's shingles last in the order). Where such a centre has
-    many members, of which many pairs would meet, blocks of them are compared as matrices (see _block_links).
+    y asks with the keys that the fewest strays have, so members don't meet by what all of a group have.
+    What meetings there would be is counted before any is made: a centre of whose members more than FULL for each would meet
+    is compared by blocks as matrices (see _block_links). So the join makes at most FULL rows a member, however large a group is.
 
     Of the pairs that meet, those whose sketches differ in too many bits go at once (see least_bits; as sure
-    as the banding itself). The edits of both then tell intersection and union exactly.
+    as the banding itself). The full sets of both then decide.
     """
     placed = compared.join(sketches.select(F.col("node").alias("b"), "sketch"), "b").join(joined.withColumnRenamed("node", "b"), "b", "left").withColumn("component", F.coalesce("component", "b"))
     kinds = compared.groupBy("a").agg((2 * F.count_if("linked") >= F.count(F.lit(1))).alias("stands"), F.count_if(~F.col("linked")).alias("strays"), F.count(F.lit(1)).alias("n")).where("strays > 0")
-    placed = scratch.save(placed.join(kinds, "a").withColumn("full", ~F.col("stands") & (F.col("strays") * F.col("n") > FULL)), "placed")
-    blocks = scratch.save(_block_links(placed.where("full"), percent), "blocks")
-    placed = placed.where("not full")
-    edits = F.concat("added", F.transform("gone", lambda v: F.bitwise_not(v)))
-    shared = F.expr(f"({percent} * size(added) + 100 * size(gone) + {100 + percent}) div {100 + percent}").cast("int")
-    asks = F.when(F.col("stands"), F.slice(edits, F.lit(1), F.size("added") + F.size("gone") - shared + 1)).otherwise(F.col("lead"))
-    held = placed.where(~F.col("linked")).select("a", F.col("b").alias("x"), F.col("component").alias("of_x"), F.col("sketch").alias("of_x_bits"), F.explode(F.when(F.col("stands"), edits).otherwise(F.col("lead"))).alias("key"))
-    asked = placed.select("a", F.col("b").alias("y"), F.col("component").alias("of_y"), F.col("sketch").alias("of_y_bits"), F.explode(asks).alias("key"))
+    placed = scratch.save(placed.join(kinds, "a"), "placed")
+    keys = scratch.save(_keys(placed, sets, percent), "keys")
+    meetings = keys.groupBy("a", "key").agg((F.count_if("stray") * F.count_if("asks")).alias("meetings")).groupBy("a").agg(F.sum("meetings").alias("meetings"))
+    full = scratch.save(meetings.join(kinds.select("a", "n"), "a").where(F.col("meetings") > FULL * F.col("n")).select("a"), "full")
+    blocks = scratch.save(_block_links(placed.join(full, "a", "left_semi"), percent), "blocks")
+    keys = keys.join(full, "a", "left_anti")
+    held = keys.where("stray").select("a", "key", "stands", F.col("b").alias("x"), F.col("component").alias("of_x"), F.col("sketch").alias("of_x_bits"), F.col("size").alias("size_x"), F.col("place").alias("place_x"))
+    asked = keys.where("asks").select("a", "key", F.col("b").alias("y"), F.col("component").alias("of_y"), F.col("sketch").alias("of_y_bits"), F.col("size").alias("size_y"), F.col("place").alias("place_y"))
     differing = sum((F.bit_count(F.col("of_x_bits")[k].bitwiseXOR(F.col("of_y_bits")[k])) for k in range(SKETCH)), F.lit(0))
-    met = held.join(asked, ["a", "key"]).where((F.col("of_x") != F.col("of_y")) & (differing <= VALUES - least_bits(percent))).select("a", F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct()
-    met = scratch.save(met, "met")
-    side = lambda n: compared.select("a", F.col("b").alias(n), *(F.col(c).alias(f"{c}_{n}") for c in ("size", "added", "gone")))
-    both = met.join(side("p"), ["a", "p"]).join(side("q").drop("size_q"), ["a", "q"])
-    same = F.size(F.array_intersect("added_p", "added_q")) + F.size(F.array_intersect("gone_p", "gone_q"))
-    inter = F.col("size_p") - F.size("gone_p") - F.size("gone_q") + same
-    union = F.col("size_p") + F.size("added_p") + F.size("added_q") - same
-    return both.where(100 * inter >= percent * union).select(F.col("p").alias("a"), F.col("q").alias("b")).distinct().unionByName(blocks)
+    left = 1 + F.least(F.col("size_x") - F.col("place_x"), F.col("size_y") - F.col("place_y"))
+    enough = F.col("stands") | ((100 + percent) * left >= percent * (F.col("size_x") + F.col("size_y")))
+    met = held.join(asked, ["a", "key"]).where((F.col("of_x") != F.col("of_y")) & enough & (differing <= VALUES - least_bits(percent)))
+    met = scratch.save(met.select(F.least("x", "y").alias("p"), F.greatest("x", "y").alias("q")).distinct(), "met")
+    side = lambda n: sets.select(F.col("node").alias(n), F.col("shingles").alias(f"of_{n}"))
+    both = met.join(side("p"), "p").join(side("q"), "q").withColumn("inter", F.size(F.array_intersect("of_p", "of_q")))
+    linked = 100 * F.col("inter") >= percent * (F.size("of_p") + F.size("of_q") - F.col("inter"))
+    return both.where(linked).select(F.col("p").alias("a"), F.col("q").alias("b")).distinct().unionByName(blocks)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -264,11 +287,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     first = scratch.save(_compared(pairs, sets, percent), "first")
     again = scratch.save(_pairs(_with_hubs(shared, first, scratch), "hub"), "again")
     second = scratch.save(_compared(again.join(pairs, ["a", "b"], "left_anti"), sets, percent), "second")
-    scratch.drop("sets")
     compared = scratch.save(first.unionByName(second).join(again, ["a", "b"], "left_semi"), "compared")
     direct = first.unionByName(second).where("linked").select("a", "b")
     direct = scratch.save(components(direct, scratch, "direct"), "joined")
-    links = direct.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(_links_past_centres(compared, direct, sketches, percent, scratch))
+    links = direct.select(F.col("component").alias("a"), F.col("node").alias("b")).unionByName(_links_past_centres(compared, direct, sketches, sets, percent, scratch))
     found = scratch.save(components(links, scratch, "all"), "components")
     # rows that share an id are one document: their classes have one node
     labels = scratch.save(classes.join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component")), "labels")

@@ -89,6 +89,29 @@ def test_near_duplicates_by_blocks(spark, monkeypatch, k):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+@pytest.mark.parametrize("full", [None, 1 << 40])
+def test_few_members_meet_past_centres(spark, monkeypatch, full):
+    """Texts of one passage and words that many of them have, but without links: by keys, where these are asked for, few meet."""
+    rnd, met, save = random.Random(11), [], Scratch.save
+
+    def spied(self, df, name, *args, **named):
+        out = save(self, df, name, *args, **named)
+        if name == "met":
+            met.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "save", spied)
+    if full is not None:
+        monkeypatch.setattr(near_dups, "FULL", full)
+    passage, beside = [f"p{i}" for i in range(60)], [f"s{i}" for i in range(120)]
+    docs = [(i, " ".join(passage + rnd.sample(beside, 14))) for i in range(1, 121)]
+    docs += [(1000 + i, f"{t} end{i}") for i, t in docs[::10]]
+    _, want = brute(docs, 2)
+    got = near_dups.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(met) == 1 and met[0] <= 10 * len(docs)  # all pairs: 66 times as many as documents
+
+
 def test_near_duplicates_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(3, text), (3, text), (2, text + " x"), (None, text), (None, None), (4, "other words here")], "doc_id long, text string")
