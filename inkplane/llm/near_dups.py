@@ -14,7 +14,7 @@ group of near copies costs about as many comparisons as it has members.
 
 Defined cases: null and empty texts and texts without words have an empty set and link with nothing;
 fewer words than a shingle has make one shingle of all of them; rows that share an id are one
-document with the links of all of them; rows without an id link with nothing and are kept; texts of any
+document with the links of all of them (but where their texts differ, links can be lost; see README); rows without an id link with nothing and are kept; texts of any
 length are hashed whole; an empty table gives none; columns of docs are kept by first_of_groups, whatever
 their names.
 """
