@@ -201,7 +201,7 @@ def least_bits(percent: int) -> int:
 def _keys(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The keys by which members b of centres a meet: a, b, stands, stray, component, sketch, size (of b's set, or edits), key,
     place (the key's in b's order, from 1), asks (else b only holds it). In an order go first the keys that the fewest
-    strays have; one that no stray but b has is left out."""
+    strays have; one that no other member, or for b no stray, has is left out."""
     edits = F.concat("added", F.transform("gone", lambda v: F.bitwise_not(v)))
     shared = F.expr(f"({percent} * size(added) + 100 * size(gone) + {100 + percent}) div {100 + percent}").cast("int")
     by_edits = placed.where("stands").select("a", "b", "stands", (~F.col("linked")).alias("stray"), edits.alias("keys"), (F.size("added") + F.size("gone") - shared + 1).alias("asked"))
@@ -211,9 +211,10 @@ def _keys(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # rows that share an id have sets of their own
     own = ["a", "b", "stands", "stray", "row", "size", "asked"]
     each = by_edits.unionByName(by_sets).withColumns({"row": F.xxhash64("keys"), "size": F.size("keys")}).select(*own, F.explode("keys").alias("key"))
-    each = each.withColumn("often", F.count_if("stray").over(Window.partitionBy("a", "key")))  # a row each: no pairs, and one exchange
-    others = each.where(F.col("often") > F.col("stray").cast("int"))
-    ordered = others.groupBy(*own).agg(F.array_sort(F.collect_set(F.struct("often", "key"))).alias("keys"))
+    same = Window.partitionBy("a", "key")  # a row each: no pairs, and one exchange
+    each = each.withColumns({"often": F.count_if("stray").over(same), "have": F.count(F.lit(1)).over(same)})
+    others = each.where(F.when(F.col("stray"), F.col("have") > 1).otherwise(F.col("often") > 0))  # what goes is first in the order
+    ordered = others.groupBy(*own).agg(F.array_sort(F.collect_set(F.struct("often", "have", "key"))).alias("keys"))
     ordered = ordered.join(placed.select("a", "b", "component", "sketch").dropDuplicates(["a", "b"]), ["a", "b"])
     left_out = F.col("size") - F.size("keys")
     used = F.when(F.col("stands") & F.col("stray"), F.size("keys")).otherwise(F.greatest(F.col("asked") - left_out, F.lit(0)))
